@@ -38,10 +38,6 @@ class Measured(NamedTuple):
     sides: Fits
 
 
-# One measurement per application and data folder, so that a run of many queries does not repeat it.
-_measured: dict[tuple[str, str], Measured] = {}
-
-
 class Tables:
     """Lazy observation tables over one data folder."""
 
@@ -57,13 +53,10 @@ class Tables:
     def measured(self) -> Measured:
         if self._given is not None:
             return self._given
-        key = (self.spark.sparkContext.applicationId, self.folder)
-        if key not in _measured:
-            taxon = fits_broadcast(self.taxon)
-            # the manual list is derived from the annotations, which need the taxon answer
-            listed = self._manual_exclusions(self._annotations(taxon))
-            _measured[key] = Measured(taxon, measure(self.field_log, listed, self.freq_exclusions))
-        return _measured[key]
+        taxon = fits_broadcast(self.taxon)
+        # the manual list is derived from the annotations, which need the taxon answer
+        listed = self._manual_exclusions(self._annotations(taxon))
+        return Measured(taxon, measure(self.field_log, listed, self.freq_exclusions))
 
     @property
     def fits(self) -> Fits:
@@ -177,3 +170,14 @@ class Tables:
     @cached_property
     def keys(self) -> DataFrame:
         return taxon_keys(self.spark, KEY_LISTS)
+
+
+# The lazy tables, and the measured sizes, of a data folder are kept for the queries of one application.
+_tables: dict[tuple[str, str], Tables] = {}
+
+
+def tables(spark: SparkSession, folder: str) -> Tables:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _tables:
+        _tables[key] = Tables(spark, folder)
+    return _tables[key]

@@ -13,6 +13,7 @@ from faunatally.catalog.binding import (
     PHYLUM,
     RICHNESS_CLASSES,
     Tables,
+    tables,
 )
 from faunatally.operators import effort as eff
 from faunatally.operators import inventory as inv
@@ -121,6 +122,6 @@ QUERIES: dict[str, Query] = {
 
 def bound(query: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return query(Tables(spark, folder))
+        return query(tables(spark, folder))
 
     return run
