@@ -38,8 +38,16 @@ def _rows(columns, rows):
     return [columns[i] for i in order], sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
+# Spark's names of the types in use, and the checking engine's.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def compare(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
-    """None when both results hold the same columns and rows, values and number types alike; else what differs."""
+    """None when both results hold the same columns, types and rows; else what differs."""
+    got_types = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    want_types = {row[0]: row[1] for row in connection.execute("DESCRIBE " + sql).fetchall()}
+    if got_types != want_types:
+        return f"types {set(got_types.items()) ^ set(want_types.items())}"
     cursor = connection.execute(sql)
     want_columns, want = _rows([d[0] for d in cursor.description], cursor.fetchall())
     got_columns, got = _rows(df.columns, [tuple(r) for r in df.collect()])
