@@ -22,15 +22,22 @@ def local_session(cpus: int | str = "*", app: str = "faunatally") -> SparkSessio
     )
 
 
+def named_checkpoint_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get(CHECKPOINT_DIR, None) or None
+
+
 def use_checkpoint_dir(spark: SparkSession) -> None:
     """Make sure checkpoints go to the folder the cluster names. A local session without one gets its own."""
-    named = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return
+    named = named_checkpoint_dir(spark)
     if named:
-        spark.sparkContext.setCheckpointDir(named)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{CHECKPOINT_DIR} is not set; checkpoints need a folder all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="faunatally-"))
+        context.setCheckpointDir(named)
+    elif context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="faunatally-"))
+    else:
+        raise ValueError(f"{CHECKPOINT_DIR} is not set; checkpoints need a folder all executors share")
 
 
 def materialise(df: DataFrame) -> DataFrame:
