@@ -10,8 +10,10 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).parent))
 
-from faunatally.catalog.queries import QUERIES, bound
-from faunatally.session import local_session
+from faunatally.catalog.binding import tables
+from faunatally.catalog.queries import QUERIES, REPORT_NAMES, bound
+from faunatally.plans.report import report
+from faunatally.session import local_session, materialise
 
 HEADLINE = (
     "merge_field_log",
@@ -53,6 +55,11 @@ def main() -> None:
         # the noop sink computes every row and column without a collect
         bound(QUERIES[name])(spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+    started = time.perf_counter()
+    observed = tables(spark, folder)
+    for table in report(materialise(observed.clean), observed.keys, REPORT_NAMES, share=materialise).values():
+        table.write.format("noop").mode("overwrite").save()
+    seconds["whole_report"] = round(time.perf_counter() - started, 3)
     spark.stop()
     print(
         json.dumps(

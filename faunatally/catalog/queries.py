@@ -22,7 +22,9 @@ from faunatally.operators import preparation as prep
 from faunatally.operators import taxonomy as tax
 from faunatally.operators import threshold as thr
 from faunatally.operators import zones as zon
-from faunatally.plans.report import metrics_table
+from faunatally.plans.report import ReportNames, metrics_table
+
+REPORT_NAMES = ReportNames(PHYLUM, RICHNESS_CLASSES, EXCLUDED_CLASSES, DISPLAY_EXCLUSIONS)
 
 Query = Callable[[Tables], DataFrame]
 

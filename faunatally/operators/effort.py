@@ -52,31 +52,36 @@ def depth_profile(meta: DataFrame, width: float = 100, closed: Literal["left", "
     itself kept in the last bin. ``closed="right"`` gives the bins of an axis that is not reversed: ``[0, 100]``,
     ``(100, 200]``.
     """
-    depth = F.col("depth_m")
-    logged = meta.where(depth.isNotNull())
-    if closed == "left":
-        last = F.ceil(logged.agg(F.max("depth_m")).scalar() / width) - 1
-        place = F.least(F.floor(depth / width), F.greatest(last, F.lit(0)))
-    elif closed == "right":
-        place = F.greatest(F.ceil(depth / width) - 1, F.lit(0))
-    else:
+    if closed not in ("left", "right"):
         raise ValueError(f"closed must be 'left' or 'right', not {closed!r}")
+    depth = F.col("depth_m")
     full = F.coalesce("valid_for_freq", F.lit(False))
-    return (
-        logged.withColumns(
-            {
-                "bin": place.cast("bigint"),
-                "effort_status": F.when(full, F.lit(FULL_EFFORT)).otherwise(F.lit(PARTIAL_EFFORT)),
-                "status_pos": F.when(full, F.lit(1)).otherwise(F.lit(2)),
-            }
+    place = F.floor(depth / width) if closed == "left" else F.greatest(F.ceil(depth / width) - 1, F.lit(0))
+    placed = (
+        meta.where(depth.isNotNull())
+        .select(
+            place.cast("bigint").alias("bin"),
+            (depth > place * width).alias("past_edge"),
+            F.when(full, F.lit(1)).otherwise(F.lit(2)).alias("status_pos"),
         )
-        .groupBy("bin", "effort_status", "status_pos")
-        .agg(F.count(F.lit(1)).alias("n_deployments"))
+        .groupBy("bin", "past_edge", "status_pos")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    if closed == "left":
+        # the few counted rows tell whether the last bin holds nothing but depths on the axis bound
+        last = placed.agg(F.max(F.struct("bin", "past_edge", "n"))).scalar()
+        only_bound = (F.col("bin") == last["bin"]) & ~last["past_edge"] & (F.col("bin") > 0)
+        placed = placed.withColumn("bin", F.when(only_bound, F.col("bin") - 1).otherwise(F.col("bin")))
+    return (
+        placed.groupBy("bin", "status_pos")
+        .agg(F.sum("n").alias("n_deployments"))
         .select(
             "bin",
             (F.col("bin") * width).cast("double").alias("bin_from"),
             ((F.col("bin") + 1) * width).cast("double").alias("bin_to"),
-            "effort_status",
+            F.when(F.col("status_pos") == 1, F.lit(FULL_EFFORT))
+            .otherwise(F.lit(PARTIAL_EFFORT))
+            .alias("effort_status"),
             "status_pos",
             "n_deployments",
         )

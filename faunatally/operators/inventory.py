@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faunatally.functions import blank_if_null, marked_name, not_listed_in
-from faunatally.operators.keyed_join import fits_broadcast, hot_keys, keyed_join, null_safe_join
+from faunatally.operators.keyed_join import fits_broadcast, keyed_join, null_safe_join
 from faunatally.schema import RANKS, TAXON
 
 # Places of names that the key list of their level does not have, and of missing names: after all listed ones.
@@ -60,8 +60,9 @@ def with_positions(df: DataFrame, keys: DataFrame, levels: Sequence[str] = RANKS
         listed = keys.where(F.col("level") == level).select(
             F.col("name").alias(level), F.col("ordinal").alias(position)
         )
-        hot = None if small else hot_keys(rows, [level])
-        df = keyed_join(df, listed, [level], "left", small=small, spread_by=["scientificName"], hot=hot)
+        df = keyed_join(
+            df, listed, [level], "left", small=small, spread_by=["scientificName"], count_in=rows
+        )
         elsewhere = F.when(F.col(level).isNull(), F.lit(MISSING)).otherwise(F.lit(UNLISTED))
         df = df.withColumn(position, F.coalesce(position, elsewhere))
     return df

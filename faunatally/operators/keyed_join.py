@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faunatally.session import materialise
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_PIECE = 1_000_000
 MAX_HOT_KEYS = 65_536
@@ -58,21 +60,19 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def hot_keys(
-    left: DataFrame,
+    rows: DataFrame,
     keys: Sequence[str],
     *,
-    counts: DataFrame | None = None,
     rows_per_piece: int = ROWS_PER_PIECE,
     max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Keys with too many rows for one task, and the number of pieces to cut each into.
 
     A key is hot above ``max(rows_per_piece, total / max_hot_keys)`` rows, so there are fewer than ``max_hot_keys`` of
-    them whatever the data holds. That bound is what makes the result safe to broadcast.
+    them whatever the data holds. That bound is what makes the result safe to broadcast. Only the key columns are read.
     """
-    if counts is None:
-        counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
-    total = left.agg(F.count(F.lit(1))).scalar()
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    total = counts.agg(F.sum(_ROWS)).scalar()
     piece = F.greatest(F.lit(float(rows_per_piece)), total / F.lit(max_hot_keys))
     return counts.where(F.col(_ROWS) > piece).select(
         *keys, F.ceil(F.col(_ROWS) / piece).cast("int").alias(_PIECES)
@@ -85,17 +85,17 @@ def split_join(
     keys: Sequence[str],
     how: str = "left",
     *,
+    hot: DataFrame,
     spread_by: Sequence[str] = (),
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Null-safe shuffle join with hot keys cut into pieces. Any ``how`` that keeps left rows: inner, left, semi, anti.
 
-    ``spread_by`` names left columns that tell a hot key's rows apart. The map partition number is added to it, so
-    exact copies are spread too. Both stay the same when a lost task is run again. ``hot`` is the result of
-    ``hot_keys`` when the caller can get it from less than the whole left side.
+    ``hot`` is a result of ``hot_keys``. It decides how rows are spread, never which rows match, so it may come from an
+    earlier state of the left side. ``spread_by`` names left columns that tell a hot key's rows apart. The map
+    partition number is added to it, so exact copies are spread too. Both stay the same when a lost task is run again.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left, keys) if hot is None else hot)
+    hot = F.broadcast(hot)
     piece = F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), F.col(_PIECES))
     spread = (
         _match(left, hot, keys, "left")
@@ -118,20 +118,23 @@ def keyed_join(
     *,
     small: bool | None = None,
     spread_by: Sequence[str] | None = None,
-    hot: DataFrame | None = None,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large left side to a table of facts by key.
 
     ``small`` says whether the right side may be broadcast; left out, its size is measured now, which runs one
-    aggregate over the right side. ``spread_by`` defaults to ``row_key`` where the left side has one.
+    aggregate over the right side. When it may not, the hot keys are counted now and kept as a small checkpointed
+    table, so that the join itself reads the left side once. They are counted in ``count_in``, a table with the keys
+    that is cheaper to read than a derived left side. ``spread_by`` defaults to ``row_key`` where the left side has one.
     """
     if small is None:
         small = fits_broadcast(right)
     if small:
         return _match(left, F.broadcast(right), keys, how)
+    hot = materialise(hot_keys(left if count_in is None else count_in, keys))
     if spread_by is None:
         spread_by = [c for c in ("row_key",) if c in left.columns]
-    return split_join(left, right, keys, how, spread_by=spread_by, hot=hot)
+    return split_join(left, right, keys, how, hot=hot, spread_by=spread_by)
 
 
 def with_group_size(
@@ -167,12 +170,18 @@ def with_group_size(
 
 
 def mark_listed(
-    df: DataFrame, listed: DataFrame, keys: Sequence[str], name: str, *, small: bool | None = None
+    df: DataFrame,
+    listed: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    *,
+    small: bool | None = None,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Add a never-NULL boolean: does the row's key occur in ``listed``?"""
     marker = "__listed"
     distinct = listed.select(*keys).distinct().withColumn(marker, F.lit(True))
-    marked = keyed_join(df, distinct, keys, "left", small=small)
+    marked = keyed_join(df, distinct, keys, "left", small=small, count_in=count_in)
     present: Column = F.col(marker).isNotNull()
     return marked.withColumn(name, present).drop(marker)
 

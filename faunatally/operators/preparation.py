@@ -77,12 +77,17 @@ def exclusion_audit(
 
 
 def flag_effort(
-    df: DataFrame, exclusions: DataFrame | None, key: str = "deployment", *, small: bool | None = None
+    df: DataFrame,
+    exclusions: DataFrame | None,
+    key: str = "deployment",
+    *,
+    small: bool | None = None,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``valid_for_freq``: FALSE for deployments on the list, TRUE for all others and when there is no list."""
     if exclusions is None:
         return df.withColumn("valid_for_freq", F.lit(True))
-    marked = mark_listed(df, exclusions, [key], "__partial", small=small)
+    marked = mark_listed(df, exclusions, [key], "__partial", small=small, count_in=count_in)
     return marked.withColumn("valid_for_freq", ~F.col("__partial")).drop("__partial")
 
 
@@ -114,10 +119,15 @@ def deployment_facts(field_log: DataFrame, exclusions: DataFrame | None, key: st
 
 
 def merge_deployment_facts(
-    annotations: DataFrame, facts: DataFrame, key: str = "deployment", *, small: bool | None = None
+    annotations: DataFrame,
+    facts: DataFrame,
+    key: str = "deployment",
+    *,
+    small: bool | None = None,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """``merge_field_log`` followed by ``flag_effort``, in one join."""
     if ANNOTATION_DEPTH in annotations.columns:
         annotations = drop_columns(annotations, ANNOTATION_DEPTH)
-    merged = keyed_join(annotations, facts, [key], "left", small=small)
+    merged = keyed_join(annotations, facts, [key], "left", small=small, count_in=count_in)
     return merged.withColumn("valid_for_freq", ~F.coalesce("partial", F.lit(False))).drop("partial")

@@ -58,9 +58,10 @@ def clean_table(
     kept = apply_exclusions(annotations, manual_exclusions, small=fits.manual_exclusions)
     if fits.field_log:
         merged = merge_field_log(kept, field_log, small=True)
-        clean = flag_effort(merged, freq_exclusions, small=fits.freq_exclusions)
+        clean = flag_effort(merged, freq_exclusions, small=fits.freq_exclusions, count_in=annotations)
     else:
-        clean = merge_deployment_facts(kept, deployment_facts(field_log, freq_exclusions), small=False)
+        facts = deployment_facts(field_log, freq_exclusions)
+        clean = merge_deployment_facts(kept, facts, small=False, count_in=annotations)
     return clean.select(*CLEAN.names)
 
 

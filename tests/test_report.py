@@ -1,15 +1,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from faunatally.catalog.binding import DISPLAY_EXCLUSIONS, EXCLUDED_CLASSES, PHYLUM, RICHNESS_CLASSES, tables
+from faunatally.catalog.binding import PHYLUM, tables
+from faunatally.catalog.queries import REPORT_NAMES as NAMES
 from faunatally.operators.effort import deploy_meta
-from faunatally.plans.report import ReportNames, metric_rows, report
+from faunatally.plans.report import metric_rows, report
 from faunatally.session import CHECKPOINT_DIR, materialise, use_checkpoint_dir
 from faunatally.sources import write_results
 from tests.rows import as_set, tuples
 
-NAMES = ReportNames(PHYLUM, RICHNESS_CLASSES, EXCLUDED_CLASSES, DISPLAY_EXCLUSIONS)
-
 
 @pytest.fixture(scope="module")
 def bound(spark, folder):
