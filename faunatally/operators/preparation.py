@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faunatally.operators.keyed_join import keyed_join, mark_listed
@@ -91,8 +91,8 @@ def flag_effort(
     return marked.withColumn("valid_for_freq", ~F.col("__partial")).drop("__partial")
 
 
-def effort_audit(exclusions: DataFrame | None, spark=None) -> DataFrame:
-    """One row: the number of list rows, as many as are announced when the flag is set."""
+def effort_audit(exclusions: DataFrame | None, spark: SparkSession | None = None) -> DataFrame:
+    """One row: the number of list rows, as many as are announced when the flag is set; without a list, none."""
     if exclusions is None:
         return spark.range(1).select(F.lit(0).cast("bigint").alias("listed_rows"))
     return exclusions.agg(F.count(F.lit(1)).alias("listed_rows"))

@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faunatally.operators.keyed_join import fits_broadcast
+from faunatally.operators.keyed_join import fits_broadcast, repeated_keys
 from faunatally.operators.preparation import (
     apply_exclusions,
     deployment_facts,
@@ -66,15 +66,19 @@ def clean_table(
 
 
 def preparation_audit(
-    spark: SparkSession,
     annotations: DataFrame,
+    field_log: DataFrame,
     manual_exclusions: DataFrame | None = None,
     freq_exclusions: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The counts announced along the way: removed records and listed deployments."""
+    """Removed records and listed deployments, as announced along the way, and deployments logged more than once.
+
+    The records are annotation rows, counted before the field log is joined.
+    """
     return {
         "exclusions": exclusion_audit(annotations, manual_exclusions),
-        "effort": effort_audit(freq_exclusions, spark),
+        "effort": effort_audit(freq_exclusions, annotations.sparkSession),
+        "log_repeats": repeated_keys(field_log, ["deployment"]),
     }
 
 
@@ -95,4 +99,4 @@ def prepare(
     manual = read_manual_exclusions(spark, manual_exclusions_path) if manual_exclusions_path else None
     freq = read_freq_exclusions(spark, freq_exclusions_path) if freq_exclusions_path else None
     write_clean(clean_table(annotations, field_log, manual, freq), clean_path)
-    return preparation_audit(spark, annotations, manual, freq)
+    return preparation_audit(annotations, field_log, manual, freq)

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from faunatally.catalog.binding import Measured, Tables
 from faunatally.catalog.queries import QUERIES
+from faunatally.operators import keyed_join
 from faunatally.plans.preparation import Fits
 from tests.check_oracles import compare, connect
 
@@ -29,8 +30,30 @@ def test_query(name, spark, folder, duck):
 LARGE = Measured(False, Fits(False, False, False))
 
 
-@pytest.mark.parametrize("name", ["merge_field_log", "apply_exclusions", "exclusion_audit", "flag_effort", "clean_table"])
-def test_query_without_broadcast(name, spark, folder, duck):
+@pytest.fixture
+def everything_is_large(spark, monkeypatch):
+    """No broadcast but that of hot keys, and limits so low that many keys are hot."""
+    monkeypatch.setitem(keyed_join.hot_keys.__kwdefaults__, "rows_per_piece", 20)
+    monkeypatch.setitem(keyed_join.with_group_size.__kwdefaults__, "rows_per_piece", 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "merge_field_log",
+        "apply_exclusions",
+        "exclusion_audit",
+        "flag_effort",
+        "clean_table",
+        "refine_taxa",
+        "zone_groups_top10",
+        "threshold_overlap",
+    ],
+)
+def test_query_without_broadcast(name, spark, folder, duck, everything_is_large):
     assert compare(QUERIES[name](Tables(spark, folder, LARGE)), duck, SQL[name]) is None
 
 

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 
+from faunatally.jobs import main
 from faunatally.plans.preparation import prepare
 from faunatally.schema import ANNOTATIONS, CLEAN, FIELD_LOG, FREQ_EXCLUSIONS, MANUAL_EXCLUSIONS
 from faunatally.sources import (
@@ -138,6 +139,7 @@ def test_prepare_from_files(spark, tmp_path):
     audit = prepare(spark, annotations_format="csv", **paths)
     assert tuples(audit["exclusions"]) == [(4, 3, 1)]
     assert tuples(audit["effort"]) == [(1,)]
+    assert tuples(audit["log_repeats"]) == []
     columns = ("deployment", "tentativeId", "depth_m", "substrate_type", "valid_for_freq")
     assert as_set(read_clean(spark, paths["clean_path"]), *columns) == {
         ("d1", "Aus cus", 1200.5, "Hard", False),
@@ -153,6 +155,34 @@ def test_prepare_from_files(spark, tmp_path):
     assert read_clean(spark, paths["clean_path"]).where("valid_for_freq").count() == 4
 
 
+def test_jobs_from_the_command_line(spark, tmp_path):
+    clean_path, audit_path, out = (str(tmp_path / d) for d in ("clean", "audit", "out"))
+    main(
+        [
+            "prepare",
+            "--annotations",
+            write(tmp_path / "a.csv", *ANNOTATION_LINES),
+            "--annotations-format",
+            "csv",
+            "--field-log",
+            write(tmp_path / "log.csv", *FIELD_LOG_LINES),
+            "--clean",
+            clean_path,
+            "--audit",
+            audit_path,
+        ]
+    )
+    assert tuples(spark.read.parquet(f"{audit_path}/exclusions")) == [(4, 4, 0)]
+    main(["report", "--clean", clean_path, "--out", out])
+    metrics = dict(tuples(spark.read.parquet(f"{out}/metrics")))
+    assert (metrics["total_taxa"], metrics["phylum_taxa"], metrics["n_phyla"]) == (3, 1, 3)
+    assert as_set(spark.read.parquet(f"{out}/inventory"), "taxon", "scientificName", "max_n") == {
+        ("Aus bus", "*Aus bus*<br>(Tentative: *Aus cus*, *Aus aus*)", "4"),
+        ("Bus", "Bus", ""),
+        ("", "", ""),
+    }
+
+
 def test_write_results(spark, tmp_path):
     write_results({"one": spark.range(2), "two": spark.range(3)}, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "two")).count() == 3
