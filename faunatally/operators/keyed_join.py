@@ -123,8 +123,8 @@ def keyed_join(
     """Join a large left side to a table of facts by key.
 
     ``small`` says whether the right side may be broadcast; left out, its size is measured now, which runs one
-    aggregate over the right side. When it may not, the hot keys are counted now and kept as a small checkpointed
-    table, so that the join itself reads the left side once. They are counted in ``count_in``, a table with the keys
+    aggregate over the right side. When it may not, the hot keys are counted now and kept as a small written table, so
+    that the join itself reads the left side once. They are counted in ``count_in``, a table with the keys
     that is cheaper to read than a derived left side. ``spread_by`` defaults to ``row_key`` where the left side has one.
     """
     if small is None:

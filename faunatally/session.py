@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,13 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute a table several queries share once and cut its lineage, in the shared checkpoint folder."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute a table several queries share once, and cut its lineage.
+
+    It is written as Parquet to the shared checkpoint folder and read back, so a lost executor costs nothing, later
+    queries read only the columns they use, and the planner knows the size. The folder's owner clears it.
+    """
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

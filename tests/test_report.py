@@ -91,6 +91,7 @@ def test_only_a_local_session_may_pick_a_folder():
 
 
 def test_materialise(spark):
-    shared = materialise(spark.range(5))
-    assert shared.count() == 5
-    assert "ExistingRDD" in shared._jdf.queryExecution().executedPlan().toString()
+    shared = materialise(spark.range(5).withColumn("twice", F.col("id") * 2))
+    assert as_set(shared) == {(i, 2 * i) for i in range(5)}
+    pruned = shared.select("twice")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<twice:bigint>" in pruned and "Range" not in pruned
