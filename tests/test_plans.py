@@ -11,7 +11,8 @@ from faunatally.plans.preparation import Fits
 
 
 def plan(df: DataFrame) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan as first made; a query that has run shows the adapted plan before it."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
 
 
 @pytest.fixture(scope="module")
