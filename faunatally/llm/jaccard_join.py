@@ -6,12 +6,13 @@ the conditions may be intersected:
 
 1. by ascending hash, for every text: tokens of the prefix that no other text has in its prefix are of no use, and a text
    keeps its place only with enough of the others;
-2. by number of components that hold the token, rarest first, for the texts still in play: common passages come last
+2. by descending hash, for texts that share such tokens with another component;
+3. by number of components that hold the token, rarest first, for the texts still in play: common passages come last
    and give no candidates;
-3. by descending and by rotated hash, for each candidate pair, before the two sets are intersected.
+4. by descending and by rotated hash, for each candidate pair, before the two sets are intersected.
 
 Texts with equal sets are one class. Classes that share prefix tokens are first linked to one leader per token and size
-band, which finds almost all components without pairing the members of a group; the second order then pairs only
+band, which finds almost all components without pairing the members of a group; the third order then pairs only
 texts of different components. Every candidate is verified on the whole sets, so the components are exact.
 """
 
@@ -31,8 +32,8 @@ from faunatally.session import materialise
 
 SHINGLE_WORDS = 5
 PERCENT = 80
+BROADCAST_IDS = 1_000_000
 _ROTATIONS = (1 << 62, 1 << 63, 3 << 62)
-_NO_ID = 1 << 62
 
 
 def _most(n: Column | str, percent: int) -> Column:
@@ -46,27 +47,95 @@ def _extra(n):
     return 1 + n // 20
 
 
-def _sets(docs: DataFrame, words: int, percent: int, whole: bool) -> DataFrame:
-    """(node, doc_id, n, signature, tokens) with all tokens or those of the first order's prefix, ascending."""
+def _prefix(n: int, percent: int) -> int:
+    return n - (n * percent + 99) // 100 + _extra(n)
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _hashed(batch: pd.DataFrame, words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, tokens) of each text. A node is named by 63 bits of its set's digest, 0 for the empty set. Tokens ascend."""
+    for at in range(0, len(batch), 256):
+        for hashes in word_hashes(batch["text"].iloc[at : at + 256], BETWEEN_SPACES):
+            # signed as Spark's longs are, in one order everywhere
+            tokens = (shingle_set(hashes, words) ^ np.uint64(1 << 63)).view(np.int64)
+            digest = blake2b(tokens.tobytes(), digest_size=8).digest()
+            yield (int.from_bytes(digest, "little") >> 1 | 1) if len(tokens) else 0, tokens
+
+
+def _sizes(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, n, node) of every row."""
+
+    def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for hashes in word_hashes(batch["text"], BETWEEN_SPACES):
-                tokens = shingle_set(hashes, words)
-                n = len(tokens)
-                prefix = n if whole else n - (n * percent + 99) // 100 + _extra(n)
-                signature = blake2b(tokens.tobytes(), digest_size=16).digest()
-                # signed as Spark's longs are, in one order everywhere
-                signed = (tokens[:prefix] ^ np.uint64(1 << 63)).view(np.int64)
-                rows.append((n, signature, signed if n else signed[:0]))
-            out = pd.DataFrame(rows, columns=["n", "signature", "tokens"])
+            made = [(len(tokens), node) for node, tokens in _hashed(batch, words)]
+            out = pd.DataFrame(made, columns=["n", "node"])
             out.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield out
 
-    schema = "doc_id long, n long, signature binary, tokens array<long>"
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInPandas(hashed, schema)
+    return docs.mapInPandas(sized, "doc_id long, n long, node long")
+
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """(node, n, tokens) of every row, with the whole set."""
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [(node, len(tokens), tokens) for node, tokens in _hashed(batch, words)]
+            yield pd.DataFrame(made, columns=["node", "n", "tokens"])
+
+    return docs.mapInPandas(whole, "node long, n long, tokens array<long>")
+
+
+def _runs(tokens: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (token, node) in order, the first place of each token, and which rows share their token."""
+    order = np.lexsort((nodes, tokens))
+    tokens, nodes = tokens[order], nodes[order]
+    new = np.ones(len(tokens), dtype=bool)
+    new[1:] = (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])
+    tokens, nodes = tokens[new], nodes[new]
+    first = np.ones(len(tokens), dtype=bool)
+    first[1:] = tokens[1:] != tokens[:-1]
+    alone = first.copy()
+    alone[:-1] &= first[1:]
+    return tokens, nodes, first, ~alone
+
+
+def _shared_tokens(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+    """(token, node) of the prefix tokens that two or more nodes have. A pair may occur on two rows.
+
+    Tokens travel packed, a batch's tokens of one bucket in one row. A token that several nodes of a batch have is known to be
+    shared: its rows pass through, spread by node, and only its least node goes to the token's bucket. So a bucket gets
+    a token once per batch at most, however many texts have it, and holds about 500,000 tokens.
+    """
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [(node, t[: _prefix(len(t), percent)].copy()) for node, t in _hashed(batch, words) if node]
+            if not made:
+                continue
+            lengths = [len(tokens) for _, tokens in made]
+            tokens, nodes, first, shared = _runs(
+                np.concatenate([tokens for _, tokens in made]), np.repeat([node for node, _ in made], lengths)
+            )
+            rows = []
+            for known, chosen in ((False, first), (True, shared)):
+                t, x = tokens[chosen], nodes[chosen]
+                bucket = ((x if known else t).view(np.uint64) >> np.uint64(7)) % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+                for part in np.split(order, cuts) if len(order) else ():
+                    rows.append((known, int(bucket[part[0]]), t[part].tobytes(), x[part].tobytes()))
+            yield pd.DataFrame(rows, columns=["known", "bucket", "tokens", "nodes"])
+
+    def match(key: tuple, packed: pd.DataFrame) -> pd.DataFrame:
+        tokens = np.frombuffer(b"".join(packed["tokens"]), np.int64)
+        nodes = np.frombuffer(b"".join(packed["nodes"]), np.int64)
+        if not key[0]:
+            tokens, nodes, _, shared = _runs(tokens, nodes)
+            tokens, nodes = tokens[shared], nodes[shared]
+        return pd.DataFrame({"token": tokens, "node": nodes})
+
+    packed = docs.mapInPandas(pack, "known boolean, bucket long, tokens binary, nodes binary")
+    return packed.groupBy("known", "bucket").applyInPandas(match, "token long, node long")
 
 
 def _from(tokens: np.ndarray, start: np.int64, length: int) -> np.ndarray:
@@ -104,16 +173,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(similar("of_a", "of_b")).select("a", "b").distinct()
 
 
-def _leaders(shared: DataFrame, node: str = "node") -> DataFrame:
-    """For every token and size band one edge to the least and one to the greatest node, if there are two."""
-    ends = shared.groupBy("token", "band").agg(F.min(node).alias("low"), F.max(node).alias("high"))
+def _leaders(shared: DataFrame) -> DataFrame:
+    """Edges to the least and the greatest node of the tokens of a size band, where a quarter of a prefix leads there.
+
+    This only finds components early; pairs left out here are found by the later orders.
+    """
+    ends = shared.groupBy("token", "band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     met = shared.join(ends.where("low < high"), ["token", "band"])
-    star = met.select(F.explode(F.array("low", "high")).alias("a"), F.col(node).alias("b")).where("a != b")
-    return star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    star = met.select(F.explode(F.array("low", "high")).alias("a"), F.col("node").alias("b"), "n").where("a != b")
+    counted = star.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tokens"), F.first("n").alias("n"))
+    strong = counted.where(F.col("tokens") * 16 >= F.col("n"))
+    return strong.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _in_play(rows: DataFrame, needed: Column) -> DataFrame:
     """Rows of tokens that several components hold, of nodes that have enough such tokens."""
+    rows = rows.select("token", "node", "n", "component")
     ends = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     met = rows.join(ends.where("low < high").select("token"), "token")
     enough = met.groupBy("node", "n").agg(F.countDistinct("token").alias("tokens")).where(F.col("tokens") >= needed)
@@ -123,42 +198,29 @@ def _in_play(rows: DataFrame, needed: Column) -> DataFrame:
 def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
-    Texts without words have an empty set and are linked with nothing. Rows that share a doc_id are one node. Rows
-    without a doc_id take part; their component is NULL unless it holds an id. Other columns are not read.
+    Texts without words have an empty set and are linked with nothing. Rows without a doc_id take part; their component
+    is NULL unless it holds an id. Rows that share a doc_id keep their own texts and components. Other columns are not
+    read.
     """
-    made = materialise(_sets(docs, words, percent, whole=False))
-    name = F.xxhash64("signature").bitwiseAND(F.lit(_NO_ID - 1)) + F.lit(_NO_ID)
-    classes = materialise(
-        made.where("n > 0")
-        .groupBy("signature")
-        .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-        .select("signature", F.coalesce("least", name).alias("node"), "n", "tokens")
-    )
-    spread = classes.select("node", "n", F.explode("tokens").alias("token"))
-    ends = spread.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)))
-    shared = materialise(spread.join(ends.select("token"), "token").select("token", "node", "n", band.alias("band")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    made = materialise(_sizes(texts, words))
+    classes = made.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"))
+    total = made.agg(F.sum("n")).first()[0] or 0
+    buckets = max(256, total * (100 - percent + 5) // 100 // 500_000)
+    found = materialise(_shared_tokens(texts, words, percent, buckets))
     # the smallest partner a set can have decides how many shared prefix tokens it needs
     needed = 1 + F.floor(_most("n", percent) / 20)
-    enough = shared.groupBy("node", "n").agg(F.countDistinct("token").alias("t")).where(F.col("t") >= needed)
-    shared = materialise(shared.join(enough.select("node", "n"), ["node", "n"]))
-    nodes = shared.select("node").distinct()
-
-    # whole sets of the texts in play, one row per class
-    wanted = classes.select("signature", "node").join(nodes, "node")
-    texts = made.where("n > 0").select("doc_id", "signature").join(wanted, "signature").where(
-        F.col("doc_id").eqNullSafe(F.when(F.col("node") < _NO_ID, F.col("node")))
-    )
-    ids = texts.select(F.col("doc_id").alias("id")).distinct()
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"
-    )
-    whole = _sets(kept, words, percent, whole=True)
-    sets = materialise(
-        whole.join(wanted, "signature").groupBy("signature", "node").agg(
-            F.first("n").alias("n"), F.first("tokens").alias("tokens")
-        )
-    )
+    band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)))
+    tokens_of = found.groupBy("node").agg(F.countDistinct("token").alias("t"))
+    enough = materialise(tokens_of.join(classes, "node").where(F.col("t") >= needed).select("node", "least", "n"))
+    shared = materialise(found.join(enough.select("node", "n", band.alias("band")), "node").distinct())
+
+    # whole sets of the texts in play
+    ids = enough.select(F.col("least").alias("id"))
+    if enough.count() <= BROADCAST_IDS:  # else both sides are shuffled
+        ids = F.broadcast(ids)
+    kept = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    sets = materialise(_sets(kept, words).where("n > 0"))
 
     links = materialise(_verified(_leaders(shared), sets, percent))
     labels = components(links, "a", "b")
@@ -170,7 +232,12 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
     # texts that may still be similar to one of another component
     open_ = materialise(_in_play(labelled(shared.select("token", "node", "n"), labels), needed))
     open_nodes = open_.select("node", "component").distinct()
-    tokens = sets.join(open_nodes, "node").select("node", "n", "component", F.explode("tokens").alias("token"))
+    known_sets = sets.join(open_nodes, "node")
+    last = F.least(F.col("n") - _most("n", percent) + 1 + F.floor(F.col("n") / 10), F.col("n")).cast("int")
+    ends = known_sets.select("node", "n", "component", F.explode(F.slice("tokens", -last, last)).alias("token"))
+    needed = 1 + F.floor(_most("n", percent) / 10)
+    open_nodes = _in_play(ends, needed).select("node").distinct()
+    tokens = known_sets.join(open_nodes, "node").select("node", "n", "component", F.explode("tokens").alias("token"))
     tokens = materialise(_in_play(materialise(tokens), _most("n", percent)))
     counts = tokens.groupBy("token").agg(F.countDistinct("component").alias("held"))
     # of n tokens all but the ones counted here are held by one component only and come first in this order
@@ -195,11 +262,10 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
     known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
     labels = components(known.union(more), "a", "b")
 
-    classed = labelled(classes.select("signature", "node"), labels)
-    classed = classed.select(
-        "signature", F.when(F.col("component") < _NO_ID, F.col("component")).alias("component_id")
-    )
-    return made.join(classed, "signature", "left").select(
+    classed = materialise(labelled(classes.select("node", "least"), labels))
+    least = classed.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = classed.join(least, "component").select("node", "component_id")
+    return made.join(named, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

@@ -2,22 +2,67 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faunatally.llm import jaccard_join, toxicity
+from faunatally.llm import decontaminate, jaccard_join, mixing, token_files, toxicity
+from faunatally.session import use_checkpoint_dir
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public tokenizer's file: in $TOKENIZERS_DIR, or in the package that holds them."""
+    folder = os.environ.get("TOKENIZERS_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder that all executors share."""
+    use_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
+
+
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_benchmark(docs, _table(spark, folder, "benchmark"), "found").select("doc_id", "found.*")
+    ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    lengths = F.transform("spans", lambda at, k: F.when(k % 2 == 1, at).otherwise(-at))
+    hit = F.aggregate(lengths, F.lit(0), lambda total, x: total + x).cast("long")
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, folder, "documents"))
 
 
+def op6_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = f"{scratch_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(_table(spark, folder, "documents"), tokens, vocabulary())
+    return token_files.read_documents(spark, tokens)
+
+
+def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(_table(spark, folder, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     lexicon = toxicity.fit(docs, _table(spark, folder, "labels"))
@@ -26,7 +71,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op3_jaccard_join, op10_toxicity)
+    query.__name__: query
+    for query in (op2_decontaminate, op3_jaccard_join, op6_token_ids, op9_source_mix, op10_toxicity)
 }
 
 ORACLES: dict[str, str] = {}
