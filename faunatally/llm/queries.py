@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faunatally.llm import decontaminate, jaccard_join, mixing, token_files, toxicity
+from faunatally.llm import chat_format, decontaminate, jaccard_join, mixing, token_counts, token_files, toxicity
 from faunatally.session import use_checkpoint_dir
 
 
@@ -33,6 +33,13 @@ def scratch_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    given = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], given.schema)
+    return chat_format.read_back(chat_format.format_segments(given.unionByName(added)))
+
+
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_benchmark(docs, _table(spark, folder, "benchmark"), "found").select("doc_id", "found.*")
@@ -53,6 +60,10 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, folder, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, folder, "documents"), vocabulary())
+
+
 def op6_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     tokens = f"{scratch_folder(spark)}/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(_table(spark, folder, "documents"), tokens, vocabulary())
@@ -72,7 +83,15 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op2_decontaminate, op3_jaccard_join, op6_token_ids, op9_source_mix, op10_toxicity)
+    for query in (
+        op1_chat_format,
+        op2_decontaminate,
+        op3_jaccard_join,
+        op5_token_counts,
+        op6_token_ids,
+        op9_source_mix,
+        op10_toxicity,
+    )
 }
 
 ORACLES: dict[str, str] = {}

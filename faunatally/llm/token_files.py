@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from faunatally.llm.token_counts import byte_signs
+
 END_ID = 0
 BLOCK = 1 << 16
 CHUNK_IDS = 1 << 18
@@ -80,17 +82,11 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
-        # the sign that stands for each byte in the vocabulary, by the library's own rule
-        self.signs = {0x20: byte_level.pre_tokenize_str(" ")[0][0]}
-        for code in range(0x80, 0x800):
-            shown = byte_level.pre_tokenize_str(chr(code))[0][0]
-            self.signs |= dict(zip(chr(code).encode(), shown))
+        self.signs = byte_signs()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -107,7 +103,7 @@ class Encoder:
             before, _, after = word.partition("\n")
             if before.strip() == before != "" and after.strip() == after != "":
                 return self._get(before) + self._piece("\n") + self._piece(after)
-        if word.isalpha() and max(word) < "\u0800":
+        if word.isalpha():
             shown = f" {word}".encode().decode("latin-1").translate(self.signs)
             return np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
         return self.whole(" " + word)
