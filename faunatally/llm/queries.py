@@ -9,7 +9,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faunatally.llm import chat_format, decontaminate, jaccard_join, mixing, token_counts, token_files, toxicity
+from faunatally.llm import (
+    chat_format,
+    decontaminate,
+    embedding_dedup,
+    jaccard_join,
+    mixing,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from faunatally.session import use_checkpoint_dir
 
 
@@ -70,6 +79,10 @@ def op6_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(spark, tokens)
 
 
+def op7_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.linked_vectors(_table(spark, folder, "embeddings"))
+
+
 def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(_table(spark, folder, "documents"))
 
@@ -89,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_jaccard_join,
         op5_token_counts,
         op6_token_ids,
+        op7_embedding_dedup,
         op9_source_mix,
         op10_toxicity,
     )
