@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faunatally.llm import decontaminate, jaccard_join, mixing, token_files, toxicity
 from faunatally.llm.queries import scratch_folder, vocabulary
-from faunatally.session import materialise
+from faunatally.llm.stored import stored
 
 TOXIC_FROM = 0.5
 
@@ -61,5 +61,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
-    return materialise(STAGES[-1][1](spark, docs, sf_dir))
+        docs = stored(stage(spark, docs, sf_dir))
+    return stored(STAGES[-1][1](spark, docs, sf_dir))

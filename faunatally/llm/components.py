@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faunatally.session import materialise
+from faunatally.llm.stored import stored
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -37,13 +37,13 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     written to the shared folder, so a lost executor costs one round at most; rounds grow with the logarithm of the
     largest component, and only two numbers a round reach the driver.
     """
-    now = materialise(
+    now = stored(
         edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(F.col("a") > F.col("b")).distinct()
     )
     before, state = None, _state(now)
     while state != before and state[0]:
         large = _stars(now).distinct()
-        now = materialise(_small_stars(large).distinct())
+        now = stored(_small_stars(large).distinct())
         before, state = state, _state(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faunatally.llm.wordhash import ALPHANUMERIC, windows, word_hashes, words_of
-from faunatally.session import materialise
+from faunatally.llm.stored import stored
 
 WINDOW_WORDS = 10
 BLOCK_BYTES = 16 * 1024 * 1024
@@ -134,7 +134,7 @@ def find_benchmark(
         before = nothing if block == 0 else (F.col(name)["spans"], F.col(name)["items"])
         docs = docs.withColumn(name, _finder(table)("text", *before))
         if blocks > 1:
-            docs = materialise(docs)
+            docs = stored(docs)
             table.destroy()
     return docs
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faunatally.llm.components import components
-from faunatally.session import materialise
+from faunatally.llm.stored import stored
 
 COSINE = 0.9
 PASSES = 16
@@ -154,7 +154,7 @@ def _links_within(members: DataFrame, cosine: float) -> DataFrame:
     means = sums.groupBy("component").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "sum"))), lambda x: x["sum"]).alias("mean")
     )
-    judged = materialise(members.join(means, "component").withColumn("core", central("unit", "mean")).drop("mean"))
+    judged = stored(members.join(means, "component").withColumn("core", central("unit", "mean")).drop("mean"))
     totals = judged.groupBy("component").agg(F.sum(F.when(F.col("core"), F.col("copies"))).alias("core_copies"))
     certain = judged.where("core").join(totals, "component").select(
         "node", (F.col("core_copies") - F.col("copies")).alias("links")
@@ -193,15 +193,15 @@ def linked_vectors(
     rows: DataFrame, *, cosine: float = COSINE, passes: int = PASSES, window: int = WINDOW
 ) -> DataFrame:
     """One row per row of ``rows`` (vec_id, embedding): vec_id, n_links, component_id, kept."""
-    named = materialise(_named(rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")))
+    named = stored(_named(rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")))
     classes = (
         named.where(F.col("node").isNotNull())
         .groupBy("node")
         .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("unit").alias("unit"))
     )
-    classes = materialise(classes)
-    labels = components(materialise(_edges(classes, cosine, passes, window)), "a", "b")
-    members = materialise(classes.join(labels, "node"))
+    classes = stored(classes)
+    labels = components(stored(_edges(classes, cosine, passes, window)), "a", "b")
+    members = stored(classes.join(labels, "node"))
     links = _links_within(members.select("component", "node", "copies", "unit"), cosine)
     least = members.groupBy("component").agg(F.min("least").alias("least_id"))
     found = (

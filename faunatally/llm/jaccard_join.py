@@ -11,14 +11,15 @@ the conditions may be intersected:
    and give no candidates;
 4. by descending and by rotated hash, for each candidate pair, before the two sets are intersected.
 
-Texts with equal sets are one class. Classes that share prefix tokens are first linked to one leader per token and size
-band, which finds almost all components without pairing the members of a group; the third order then pairs only
+Texts with equal sets are one class. Classes that share prefix tokens are first linked, in a few rounds, to one leader per
+token and size band, which finds almost all components without pairing the members of a group; the third order then pairs only
 texts of different components. Every candidate is verified on the whole sets, so the components are exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 
 from faunatally.llm.components import components
 from faunatally.llm.wordhash import BETWEEN_SPACES, shingle_set, word_hashes
-from faunatally.session import materialise
+from faunatally.llm.stored import stored
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 BROADCAST_IDS = 1_000_000
+LEADERS = 8
+ROUNDS = 4
 _ROTATIONS = (1 << 62, 1 << 63, 3 << 62)
 
 
@@ -173,19 +176,32 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(similar("of_a", "of_b")).select("a", "b").distinct()
 
 
-def _leaders(shared: DataFrame) -> DataFrame:
-    """Edges to the least and the greatest node of the tokens of a size band, where a quarter of a prefix leads there.
+def _leaders(shared: DataFrame, number: int) -> DataFrame:
+    """For every token and size band edges from one leader to the nodes of other components.
 
-    This only finds components early; pairs left out here are found by the later orders.
+    Leaders are drawn by hash, anew in each round and for each of ``LEADERS`` classes of tokens, so a node meets several of a
+    group. Only pairs that enough tokens lead to are taken. This finds components early; what is left out here is found
+    by the later orders.
     """
-    ends = shared.groupBy("token", "band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    met = shared.join(ends.where("low < high"), ["token", "band"])
-    star = met.select(F.explode(F.array("low", "high")).alias("a"), F.col("node").alias("b"), "n").where("a != b")
-    counted = star.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tokens"), F.first("n").alias("n"))
-    strong = counted.where(F.col("tokens") * 16 >= F.col("n"))
+    place = F.xxhash64("node", F.pmod("token", F.lit(LEADERS)), F.lit(number))
+    first = F.min(F.struct(place.alias("place"), "node", "component")).alias("first")
+    ends = shared.groupBy("token", "band").agg(first)
+    met = shared.join(ends, ["token", "band"]).where("component != first.component")
+    counted = met.groupBy(F.col("first.node").alias("a"), F.col("node").alias("b")).agg(
+        F.count(F.lit(1)).alias("tokens"), F.first("n").alias("n")
+    )
+    strong = counted.where(F.col("tokens") * (16 * LEADERS) >= F.col("n"))
     return strong.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with their node's component, the node itself where it has no links."""
+    if labels is None:
+        return rows.withColumn("component", F.col("node"))
+    met = rows.join(labels.select("node", F.col("component").alias("known")), "node", "left")
+    return met.withColumn("component", F.coalesce("known", "node")).drop("known")
+
+
 def _in_play(rows: DataFrame, needed: Column) -> DataFrame:
     """Rows of tokens that several components hold, of nodes that have enough such tokens."""
     rows = rows.select("token", "node", "n", "component")
@@ -203,34 +219,35 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
     read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = materialise(_sizes(texts, words))
+    made = stored(_sizes(texts, words))
     classes = made.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"))
     total = made.agg(F.sum("n")).first()[0] or 0
     buckets = max(256, total * (100 - percent + 5) // 100 // 500_000)
-    found = materialise(_shared_tokens(texts, words, percent, buckets))
+    found = stored(_shared_tokens(texts, words, percent, buckets))
     # the smallest partner a set can have decides how many shared prefix tokens it needs
     needed = 1 + F.floor(_most("n", percent) / 20)
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)))
     tokens_of = found.groupBy("node").agg(F.countDistinct("token").alias("t"))
-    enough = materialise(tokens_of.join(classes, "node").where(F.col("t") >= needed).select("node", "least", "n"))
-    shared = materialise(found.join(enough.select("node", "n", band.alias("band")), "node").distinct())
+    enough = stored(tokens_of.join(classes, "node").where(F.col("t") >= needed).select("node", "least", "n"))
+    shared = stored(found.join(enough.select("node", "n", band.alias("band")), "node").distinct())
 
     # whole sets of the texts in play
     ids = enough.select(F.col("least").alias("id"))
     if enough.count() <= BROADCAST_IDS:  # else both sides are shuffled
         ids = F.broadcast(ids)
     kept = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    sets = materialise(_sets(kept, words).where("n > 0"))
-
-    links = materialise(_verified(_leaders(shared), sets, percent))
-    labels = components(links, "a", "b")
+    sets = stored(_sets(kept, words).where("n > 0"))
 
-    def labelled(rows: DataFrame, by: DataFrame) -> DataFrame:
-        met = rows.join(by.select("node", F.col("component").alias("known")), "node", "left")
-        return met.withColumn("component", F.coalesce("known", "node")).drop("known")
+    labels = None
+    for number in range(ROUNDS):
+        links = stored(_verified(_leaders(_labelled(shared, labels), number), sets, percent))
+        if links.isEmpty():
+            break
+        known = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("component").alias("b"))]
+        labels = components(reduce(DataFrame.union, known, links), "a", "b")
 
     # texts that may still be similar to one of another component
-    open_ = materialise(_in_play(labelled(shared.select("token", "node", "n"), labels), needed))
+    open_ = stored(_in_play(_labelled(shared.select("token", "node", "n"), labels), needed))
     open_nodes = open_.select("node", "component").distinct()
     known_sets = sets.join(open_nodes, "node")
     last = F.least(F.col("n") - _most("n", percent) + 1 + F.floor(F.col("n") / 10), F.col("n")).cast("int")
@@ -238,31 +255,35 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
     needed = 1 + F.floor(_most("n", percent) / 10)
     open_nodes = _in_play(ends, needed).select("node").distinct()
     tokens = known_sets.join(open_nodes, "node").select("node", "n", "component", F.explode("tokens").alias("token"))
-    tokens = materialise(_in_play(materialise(tokens), _most("n", percent)))
+    tokens = stored(_in_play(stored(tokens), _most("n", percent)))
     counts = tokens.groupBy("token").agg(F.countDistinct("component").alias("held"))
     # of n tokens all but the ones counted here are held by one component only and come first in this order
     ranked = tokens.join(counts, "token").groupBy("node", "n", "component").agg(
         F.sort_array(F.collect_set(F.struct("held", "token"))).alias("ordered")
     )
     length = F.col("n") - _most("n", percent) + 1 - (F.col("n") - F.size("ordered"))
-    prefix = materialise(
+    prefix = stored(
         ranked.where(length > 0)
-        .select("node", "n", "component", F.explode(F.slice("ordered", 1, length.cast("int"))).alias("t"))
-        .select("node", "n", "component", F.col("t.token").alias("token"))
+        .select("node", "n", "component", F.size("ordered").alias("listed"), F.posexplode(F.slice("ordered", 1, length.cast("int"))))
+        # tokens from this one on, in the order of all n
+        .select("node", "n", "component", (F.col("listed") - F.col("pos")).alias("left"), F.col("col.token").alias("token"))
     )
-    other = prefix.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "component")))
+    other = prefix.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "component", "left")))
     pairs = (
         prefix.join(other, "token")
         .where("node < node_b and component != component_b")
         .where(F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent)
+        # the first common token of a similar pair leaves room for the overlap it needs
+        .where(F.least("left", "left_b") * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent)
         .select(F.col("node").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
-    more = materialise(_verified(pairs, sets, percent))
-    known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    labels = components(known.union(more), "a", "b")
+    more = stored(_verified(pairs, sets, percent))
+    if labels is not None:
+        more = more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    labels = components(more, "a", "b")
 
-    classed = materialise(labelled(classes.select("node", "least"), labels))
+    classed = stored(_labelled(classes.select("node", "least"), labels))
     least = classed.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classed.join(least, "component").select("node", "component_id")
     return made.join(named, "node", "left").select(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faunatally.session import materialise
+from faunatally.llm.stored import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 PERCENT = 150
@@ -146,8 +146,8 @@ def mixture(docs: DataFrame, *, slots: int = SLOTS, repeats: int = REPEATS, **sh
     underscores.
     """
     (at,) = _free(docs, "mixed")
-    sizes = materialise(docs.groupBy("source").agg(F.sum(size_in_words("text")).alias("size")))
-    targets = materialise(source_targets(sizes, repeats=repeats, **shares))
+    sizes = stored(docs.groupBy("source").agg(F.sum(size_in_words("text")).alias("size")))
+    targets = stored(source_targets(sizes, repeats=repeats, **shares))
     length = slot_words(targets, slots)
     placed = _placed(docs, targets, at)
     end = F.col(f"{at}.first") + F.col(f"{at}.size")

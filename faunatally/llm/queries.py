@@ -15,6 +15,7 @@ from faunatally.llm import (
     embedding_dedup,
     jaccard_join,
     mixing,
+    suffix_dedup,
     token_counts,
     token_files,
     toxicity,
@@ -69,6 +70,10 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, folder, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, folder, "documents")).drop("spans")
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, folder, "documents"), vocabulary())
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_chat_format,
         op2_decontaminate,
         op3_jaccard_join,
+        op4_suffix_dedup,
         op5_token_counts,
         op6_token_ids,
         op7_embedding_dedup,

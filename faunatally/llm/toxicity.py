@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faunatally.session import materialise
+from faunatally.llm.stored import stored
 
 # Letters of other scripts, digits and signs that look like a Latin letter.
 LOOK_ALIKES = {
@@ -222,7 +222,7 @@ def fit(
         .union(marked.where("toxic = 0").orderBy("place", "doc_id").limit(max_clean))
     )
     # at most max_toxic + max_clean rows of three numbers
-    sample = materialise(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").drop("doc_id"))
+    sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").drop("doc_id"))
     learn, tune = sample.where("pmod(place, 3) < 2"), sample.where("pmod(place, 3) = 2")
     sizes = dict(learn.groupBy("toxic").count().collect())
     if not sizes.get(0) or not sizes.get(1):
