@@ -14,6 +14,7 @@ from faunatally.llm import (
     decontaminate,
     embedding_dedup,
     jaccard_join,
+    line_dedup,
     mixing,
     suffix_dedup,
     token_counts,
@@ -88,6 +89,11 @@ def op7_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.linked_vectors(_table(spark, folder, "embeddings"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(_table(spark, folder, "documents"))
 
@@ -109,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_token_counts,
         op6_token_ids,
         op7_embedding_dedup,
+        op8_line_dedup,
         op9_source_mix,
         op10_toxicity,
     )
