@@ -21,8 +21,11 @@ from faunatally.llm import (
     token_files,
     toxicity,
 )
+from faunatally.llm.oracles import ORACLES
 from faunatally.session import use_checkpoint_dir
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -120,5 +123,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_toxicity,
     )
 }
-
-ORACLES: dict[str, str] = {}
