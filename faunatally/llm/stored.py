@@ -6,16 +6,22 @@ from pyspark.sql import DataFrame
 
 from faunatally.session import materialise
 
-# Spark's own setting: the shuffle files of a finished query are deleted at once, not when the driver collects garbage.
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Spark's own settings: the shuffle files of a finished query are deleted at once, not when the driver collects garbage, and
+# a Python task gets its rows in small portions, so a row count of long arrays can't fill a worker.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
+}
 
 
 def stored(df: DataFrame) -> DataFrame:
     """The table, written to the shared folder and read back; its shuffle files go as soon as it is written."""
     conf = df.sparkSession.conf
-    before = conf.get(CLEAN_UP, None)
-    conf.set(CLEAN_UP, "true")
+    before = {key: conf.get(key, None) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        conf.set(key, value)
     try:
         return materialise(df)
     finally:
-        conf.unset(CLEAN_UP) if before is None else conf.set(CLEAN_UP, before)
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
