@@ -179,21 +179,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _leaders(shared: DataFrame, number: int) -> DataFrame:
     """For every token and size band edges from one leader to the nodes of other components.
 
-    Leaders are drawn by hash, anew in each round and for each of ``LEADERS`` classes of tokens, so a node meets several of a
-    group. Only pairs that enough tokens lead to are taken. This finds components early; what is left out here is found
-    by the later orders.
+    A leader is a node whose prefix is widely shared: in a group of edited copies the least edited one, which most of the
+    others are similar to. The choice is loosened by hash, more in each of ``LEADERS`` classes of tokens and in each round,
+    so a node meets several of a group. Only pairs that enough tokens lead to are taken. This finds components early;
+    what is left out here is found by the later orders.
     """
-    place = F.xxhash64("node", F.pmod("token", F.lit(LEADERS)), F.lit(number))
+    kind = F.pmod("token", F.lit(LEADERS))
+    chance = F.pmod(F.xxhash64("node", kind, F.lit(number)), F.lit(1 << 20)) / (1 << 20)
+    place = -F.col("weight") * (1 - chance * F.least(F.lit(1.0), (kind + 2 * number) / (2 * LEADERS)))
     first = F.min(F.struct(place.alias("place"), "node", "component")).alias("first")
     ends = shared.groupBy("token", "band").agg(first)
     met = shared.join(ends, ["token", "band"]).where("component != first.component")
     counted = met.groupBy(F.col("first.node").alias("a"), F.col("node").alias("b")).agg(
         F.count(F.lit(1)).alias("tokens"), F.first("n").alias("n")
     )
-    strong = counted.where(F.col("tokens") * (16 * LEADERS) >= F.col("n"))
+    strong = counted.where(F.col("tokens") * (8 * LEADERS) >= F.col("n"))
     return strong.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _weighed(shared: DataFrame) -> DataFrame:
+    """``shared`` with the weight of its nodes: how widely the tokens of a node's prefix are held, for its size."""
+    held = shared.groupBy("token").agg(F.log(F.count(F.lit(1))).alias("held"))
+    weights = shared.join(held, "token").groupBy("node").agg((F.sum("held") / F.first("n")).alias("weight"))
+    return shared.join(weights, "node")
+
+
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     """``rows`` with their node's component, the node itself where it has no links."""
     if labels is None:
@@ -230,6 +240,7 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
     tokens_of = found.groupBy("node").agg(F.countDistinct("token").alias("t"))
     enough = stored(tokens_of.join(classes, "node").where(F.col("t") >= needed).select("node", "least", "n"))
     shared = stored(found.join(enough.select("node", "n", band.alias("band")), "node").distinct())
+    shared = stored(_weighed(shared))
 
     # whole sets of the texts in play
     ids = enough.select(F.col("least").alias("id"))
