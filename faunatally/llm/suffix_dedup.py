@@ -34,6 +34,7 @@ PIECE_BYTES = 1 << 20
 BUCKET_ENTRIES = 1_000_000
 PASS_BYTES = 512 * 1024 * 1024
 ENTRY_BYTES = 20
+SLICE_ENTRIES = 1_000_000
 _STEP = 0xD1342543DE82EF95
 _COEFFICIENTS = np.random.default_rng(20260102).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -179,6 +180,18 @@ def _by_name(names: np.ndarray, starts: np.ndarray, column: str) -> pd.DataFrame
     return pd.DataFrame({"name": heads, column: lists})
 
 
+def _slices(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of texts with about ``SLICE_ENTRIES`` entries at most, or one larger text."""
+    at, total = 0, 0
+    for k, size in enumerate(sizes):
+        if k > at and total + size > SLICE_ENTRIES:
+            yield slice(at, k)
+            at, total = k, 0
+        total += size
+    if at < len(sizes):
+        yield slice(at, len(sizes))
+
+
 def _entries(made: list[tuple[np.ndarray, int, np.ndarray]]):
     """Entries of a batch, from (keys, name, starts) of each text. Ties within the batch are known now."""
     lengths = [len(k) for k, _, _ in made]
@@ -198,9 +211,9 @@ def _tied_samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 2048):
+            for part in _slices(np.array([len(_bytes(t)) for t in batch["text"]]) * len(cover) // v):
                 made = []
-                for data in map(_bytes, batch["text"].iloc[at : at + 2048]):
+                for data in map(_bytes, batch["text"].iloc[part]):
                     if len(data) >= length:
                         starts = cover_starts(len(data), v, cover, key_bytes)
                         made.append((window_hashes(np.frombuffer(data, np.uint8), starts, key_bytes), _name(data), starts))
@@ -252,9 +265,9 @@ def _unrepeated(candidates: DataFrame, length: int, passes: int, number: int, bu
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 256):
+            for chosen in _slices(np.array([int(np.sum(r[1::2] - r[::2])) for r in batch["starts"]])):
                 made = []
-                part = batch.iloc[at : at + 256]
+                part = batch.iloc[chosen]
                 for name, text, ranges in zip(part["name"], part["text"], part["starts"]):
                     starts = np.concatenate([np.arange(a, b) for a, b in zip(ranges[::2], ranges[1::2])])
                     keys = window_hashes(np.frombuffer(_bytes(text), np.uint8), starts, length)
