@@ -94,6 +94,7 @@ def flag_effort(
 def effort_audit(exclusions: DataFrame | None, spark: SparkSession | None = None) -> DataFrame:
     """One row: the number of list rows, as many as are announced when the flag is set; without a list, none."""
     if exclusions is None:
+        spark = spark or SparkSession.active()
         return spark.range(1).select(F.lit(0).cast("bigint").alias("listed_rows"))
     return exclusions.agg(F.count(F.lit(1)).alias("listed_rows"))
 

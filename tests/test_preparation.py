@@ -125,3 +125,7 @@ def test_drop_columns_rejects_a_missing_name(annotations):
     assert "family" not in drop_columns(annotations, "family").columns
     with pytest.raises(ValueError, match="no such column: famly"):
         drop_columns(annotations, "famly")
+
+
+def test_effort_audit_without_list_or_session(spark):
+    assert [r.listed_rows for r in effort_audit(None).collect()] == [0]
