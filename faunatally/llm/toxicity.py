@@ -101,11 +101,16 @@ class Lexicon:
                 excepted.append((first, last + 1))
             elif weight > found.get(first, (0, 0.0))[1]:
                 found[first] = (last + 1, weight)
-        return [
-            (first, end, weight)
-            for first, (end, weight) in sorted(found.items())
-            if not any(a <= first and end <= b for a, b in excepted)
-        ]
+        # an exception cancels the hits that lie wholly inside it: of those that begin no later, the farthest end decides
+        excepted.sort()
+        kept, reach, at = [], 0, 0
+        for first, (end, weight) in sorted(found.items()):
+            while at < len(excepted) and excepted[at][0] <= first:
+                reach = max(reach, excepted[at][1])
+                at += 1
+            if reach < end:
+                kept.append((first, end, weight))
+        return kept
 
     def features(self, text: str | None) -> tuple[float, float]:
         folded = fold(text)
@@ -166,6 +171,8 @@ def _counted(sample: DataFrame, terms) -> DataFrame:
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 by_class[int(toxic)].update(terms(fold(text)))
             seen = list(by_class[0] | by_class[1])
+            if not seen:
+                continue
             yield pd.DataFrame(
                 {"term": seen, "toxic": [by_class[1][t] for t in seen], "clean": [by_class[0][t] for t in seen]}
             )

@@ -247,6 +247,19 @@ def test_toxicity(spark, nothing):
     assert toxicity.fit(nothing, marks).score("grumblot") == 0.0
 
 
+def test_toxicity_of_texts_without_terms(spark):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([None, "", " \n", ",", "a b"] * 8)], DOCS.split(", source")[0])
+    marks = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    lexicon = toxicity.fit(docs, marks)
+    assert all(0 <= r.s <= 1 for r in docs.select(toxicity.score(lexicon, "text").alias("s")).collect())
+
+
+def test_exceptions_of_many_hits_are_swept_once():
+    lexicon = toxicity.Lexicon({" trash ": 3.0}, (" trash can ", " a trash "), (-1.0, 1.0, 1.0))
+    folded = toxicity.fold("trash can a trash of trash " * 40_000)
+    assert len(lexicon.hits(folded)) == 40_000
+
+
 def test_exception_phrases_cancel_hits():
     lexicon = toxicity.Lexicon({" trash ": 3.0}, (" trash can ",), (-1.0, 1.0, 1.0))
     assert lexicon.hits(toxicity.fold("the trash can")) == [] and len(lexicon.hits(toxicity.fold("you Tr4sh"))) == 1
