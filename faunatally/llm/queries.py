@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from faunatally.llm import (
     embedding_dedup,
     jaccard_join,
     line_dedup,
+    merkle,
     mixing,
     suffix_dedup,
     token_counts,
@@ -108,6 +110,22 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = _table(spark, folder, "documents").select(*fields)
+    folded = F.translate("text", ascii_uppercase, ascii_lowercase)
+    altered = (F.crc32(F.col("doc_id").cast("string")) % 3 == 0) & (folded != F.col("text"))
+    leaf = merkle.leaf_hash(*map(F.col, fields))
+    # presented is NULL where the leaf is presented as it is
+    presented = F.when(altered, merkle.leaf_hash(*map(F.col, fields[:-1]), folded))
+    rows = docs.select("lang", "doc_id", leaf.alias("leaf"), F.unhex(presented).alias("presented"))
+    found = merkle.manifest(rows, "lang", "doc_id", carry=["presented"])
+    shown = F.coalesce(F.lower(F.hex("presented")), F.col("leaf"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), merkle.refold(shown).alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -121,5 +139,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_source_mix,
         op10_toxicity,
+        op12_merkle_manifest,
     )
 }

@@ -1,6 +1,8 @@
 """Plain versions of the text operators, for small fixtures."""
 
+import hashlib
 import re
+import zlib
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -55,3 +57,58 @@ def greedy_pieces(word, begins, continues):
             return 0
         count, at = count + 1, end
     return count
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def merkle_leaf(*values):
+    return digest("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def merkle_levels(hashes):
+    levels = [hashes]
+    while len(levels[-1]) > 1:
+        levels.append([digest("".join(levels[-1][k : k + 8])) for k in range(0, len(levels[-1]), 8)])
+    return levels
+
+
+def merkle_proof(levels, place):
+    out = []
+    for level in levels[:-1]:
+        run = level[place // 8 * 8 : place // 8 * 8 + 8]
+        out += run[: place % 8] + run[place % 8 + 1 :]
+        place //= 8
+    return out
+
+
+def merkle_fold(levels, place, found):
+    for level in levels[:-1]:
+        run = list(level[place // 8 * 8 : place // 8 * 8 + 8])
+        run[place % 8] = found
+        found, place = digest("".join(run)), place // 8
+    return found
+
+
+def merkle_rows(rows):
+    """(doc_id, leaf, subroot, root, proof, folded root) of rows (doc_id, source, lang, n_chars, text)."""
+    by_lang = {}
+    for r in rows:
+        shown = merkle_leaf(*r[:4], None if r[4] is None else r[4].translate(FOLD))
+        by_lang.setdefault(r[2], []).append((r[0] is not None, r[0] or 0, merkle_leaf(*r), shown, r[0]))
+    langs = sorted(by_lang, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {lang: merkle_levels([leaf for _, _, leaf, _, _ in sorted(by_lang[lang], key=str_free)]) for lang in langs}
+    top = merkle_levels([trees[lang][-1][0] for lang in langs])
+    out = []
+    for g, lang in enumerate(langs):
+        for place, (_, _, leaf, shown, doc_id) in enumerate(sorted(by_lang[lang], key=str_free)):
+            altered = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0
+            folded = merkle_fold(top, g, merkle_fold(trees[lang], place, shown if altered else leaf))
+            proof = "".join(merkle_proof(trees[lang], place) + merkle_proof(top, g))
+            out.append((doc_id, leaf, trees[lang][-1][0], top[-1][0], digest(proof), folded, folded == top[-1][0]))
+    return out
+
+
+def str_free(row):
+    return row[:3]
