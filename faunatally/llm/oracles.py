@@ -156,6 +156,36 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce(range(octet_length(encode({text}))), {step}, 4294967295), 4294967295)"
 
 
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]{{7,}}')) AS run FROM documents
+), hashed AS (SELECT run, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM runs, crc_table),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM hashed
+), vocabulary AS (SELECT word, count(*) AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+spots AS (SELECT word, n, unnest(range(length(word))) AS spot FROM vocabulary),
+rests AS (SELECT word, n, spot, substr(word, 1, spot) || substr(word, spot + 2) AS rest FROM spots),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM rests a JOIN rests b ON a.spot = b.spot AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM rests a JOIN vocabulary b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM rests a JOIN vocabulary b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n FROM pairs GROUP BY word
+), forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * v.n THEN near END AS form,
+         CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS root, 0 AS step FROM forms
+  UNION ALL SELECT w.word, f.form, step + 1 FROM walk w JOIN forms f ON f.word = w.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, root, n, n_near, form_n
+FROM forms f JOIN (SELECT word, max_by(root, step) AS root FROM walk GROUP BY word) USING (word)
+"""
+
+
 def _field(value: str) -> str:
     return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}, '-')"
 
@@ -218,5 +248,6 @@ ORACLES = {
     "op3_jaccard_join": JACCARD_JOIN,
     "op7_embedding_dedup": EMBEDDING_DEDUP,
     "op9_source_mix": SOURCE_MIX,
+    "op11_spelling_variants": SPELLING_VARIANTS,
     "op12_merkle_manifest": MERKLE_MANIFEST,
 }

@@ -18,6 +18,7 @@ from faunatally.llm import (
     line_dedup,
     merkle,
     mixing,
+    spelling,
     suffix_dedup,
     token_counts,
     token_files,
@@ -110,6 +111,11 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling.variants(spelling.count_words(_table(spark, folder, "documents")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     docs = _table(spark, folder, "documents").select(*fields)
@@ -139,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_source_mix,
         op10_toxicity,
+        op11_spelling_variants,
         op12_merkle_manifest,
     )
 }

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -112,3 +113,41 @@ def merkle_rows(rows):
 
 def str_free(row):
     return row[:3]
+
+
+def spelling_words(rows, every=31):
+    """Words of (doc_id, text) rows with their numbers of occurrences."""
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(FOLD)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def spelling_variants(counts, ratio=10):
+    """(word, form, root, n, n_near, form_n) by a test of every pair."""
+    forms, near_counts = {}, {}
+    for w, n in counts.items():
+        near = [v for v in counts if one_edit(w, v)]
+        near_counts[w] = len(near)
+        best = min(near, key=lambda v: (-counts[v], v), default=None)
+        forms[w] = best if best is not None and counts[best] >= ratio * n else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while forms[root]:
+            root = forms[root]
+        out.append((w, forms[w], root, n, near_counts[w], counts.get(forms[w])))
+    return out
