@@ -14,6 +14,7 @@ from faunatally.llm import (
     chat_format,
     decontaminate,
     embedding_dedup,
+    html_extract,
     jaccard_join,
     line_dedup,
     merkle,
@@ -132,6 +133,10 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(_table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -147,5 +152,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_toxicity,
         op11_spelling_variants,
         op12_merkle_manifest,
+        op13_html_extract,
     )
 }

@@ -1,6 +1,7 @@
 """Plain versions of the text operators, for small fixtures."""
 
 import hashlib
+import html
 import re
 import zlib
 from collections import Counter
@@ -151,3 +152,11 @@ def spelling_variants(counts, ratio=10):
             root = forms[root]
         out.append((w, forms[w], root, n, near_counts[w], counts.get(forms[w])))
     return out
+
+
+def article_text(page):
+    """Text of the one article of a page whose articles hold headings and paragraphs only."""
+    article = page.partition("<article>")[2].partition("</article>")[0]
+    parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", p)).split()) for p in re.split("</?(?:p|h1)>", article)]
+    text = "\n\n".join(p for p in parts if p)
+    return text, len(text)
