@@ -7,6 +7,7 @@ the three tables takes part.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 from typing import NamedTuple
 
@@ -14,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faunatally.operators.keyed_join import fits_broadcast, keyed_join
-from faunatally.plans.preparation import Fits, clean_table, measure
+from faunatally.plans.preparation import Fits, clean_table, marked_table, measure
 from faunatally.schema import ANNOTATIONS
+from faunatally.session import use_checkpoint_dir
 from faunatally.sources import taxon_keys
 
 # Names that play the report's parts.
@@ -24,12 +26,15 @@ RICHNESS_CLASSES = ("C0", "C12")
 EXCLUDED_CLASSES = ("C0", "C24")
 DISPLAY_EXCLUSIONS = ("C0", "O1", "F2")
 KEY_LISTS = {
-    "phylum": "P3 P1 P0 P2 P5 P4 P7 P6 P9 P8".split(),
-    "class": "C3 C0 C1".split(),
-    "tax_order": "O5 O2 O0".split(),
-    "family": "F9 F3 F0".split(),
+    "phylum": ("P3", "P1", "P0", "P2", "P5", "P4", "P7", "P6", "P9", "P8"),
+    "class": ("C3", "C0", "C1"),
+    "tax_order": ("O5", "O2", "O0"),
+    "family": ("F9", "F3", "F0"),
 }
 
+# Columns that the annotation sheet has beside the model's, from lineitem.
+OTHER_COLUMNS = {"observer": "l_suppkey", "Notes (free)": "l_linestatus", "location": "l_returnflag"}
+
 
 class Measured(NamedTuple):
     """Which side tables were measured small enough to broadcast."""
@@ -122,6 +127,7 @@ class Tables:
                     F.col("l_returnflag") == "R", "Not attracted"
                 ),
                 "tentativeId": F.when(F.col("l_tax") == 0.08, tentative),
+                **{name: F.col(column) for name, column in OTHER_COLUMNS.items()},
             }
         )
 
@@ -129,6 +135,17 @@ class Tables:
     def annotations(self) -> DataFrame:
         return self._annotations(self.measured.taxon).select(*ANNOTATIONS.names)
 
+    @cached_property
+    def annotations_all_columns(self) -> DataFrame:
+        """The annotations with columns the model does not know, one of them under a name of the field log."""
+        return self._annotations(self.measured.taxon).select(*ANNOTATIONS.names, *OTHER_COLUMNS)
+
+    @cached_property
+    def repeated_log(self) -> DataFrame:
+        """The field log with a second, deeper entry for some deployments."""
+        again = self.field_log.where(F.col("location").isin("L3", "L4"))
+        return self.field_log.unionAll(again.withColumn("depth_m", F.col("depth_m") + 100))
+
     @cached_property
     def field_log(self) -> DataFrame:
         key = F.col("o_orderkey")
@@ -167,6 +184,21 @@ class Tables:
             self.annotations, self.field_log, self.manual_exclusions, self.freq_exclusions, self.fits
         )
 
+    @cached_property
+    def clean_all_columns(self) -> DataFrame:
+        return clean_table(
+            self.annotations_all_columns, self.field_log, self.manual_exclusions, self.freq_exclusions, self.fits
+        )
+
+    def marked(self, field_log: DataFrame) -> DataFrame:
+        """The preparation job's rows with the excluded ones marked."""
+        return marked_table(self.annotations, field_log, self.manual_exclusions, self.freq_exclusions, self.fits)
+
+    def new_folder(self, name: str) -> str:
+        """A folder of its own beside the checkpoints, for queries that write files and read them back."""
+        use_checkpoint_dir(self.spark)
+        return f"{self.spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
     @cached_property
     def keys(self) -> DataFrame:
         return taxon_keys(self.spark, KEY_LISTS)

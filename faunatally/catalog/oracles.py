@@ -94,10 +94,10 @@ _TAXON = "phylum, class, tax_order, family, scientificName"
 
 
 def _number(column: str) -> str:
-    return (
-        f"CASE WHEN {column} = floor({column}) THEN CAST(CAST({column} AS BIGINT) AS VARCHAR) "
-        f"ELSE CAST({column} AS VARCHAR) END"
-    )
+    """At most 15 significant digits, without exponent or trailing zeros."""
+    places = f"greatest(14 - CAST(floor(log10(abs({column}))) AS INTEGER), 1)"
+    plain = f"regexp_replace(format('{{:.' || {places} || 'f}}', {column}), '\\.?0+$', '')"
+    return f"CASE WHEN {column} = 0 THEN '0' ELSE {plain} END"
 
 
 def _marked(name: str) -> str:
@@ -111,13 +111,16 @@ def _percent(part: str, whole: str, digits: int) -> str:
     return f"round_even(CAST({part} AS DOUBLE) / nullif({whole}, 0) * 100, {digits})"
 
 
-RANGES = f""",
-spans AS (SELECT {_TAXON}, min(depth_m) AS min_depth, max(depth_m) AS max_depth FROM clean GROUP BY ALL),
+_RANGES = f""",
+spans AS (
+  SELECT {_TAXON}, min(depth_m * SCALE) AS min_depth, max(depth_m * SCALE) AS max_depth FROM clean GROUP BY ALL),
 ranges AS (
   SELECT *, CASE WHEN min_depth = max_depth THEN {_number("min_depth")}
                  WHEN min_depth <> max_depth THEN {_number("min_depth")} || ' - ' || {_number("max_depth")}
             END AS depth_range
   FROM spans)"""
+RANGES = _RANGES.replace(" * SCALE", "")
+RANGES_FINE = _RANGES.replace("SCALE", "0.1::DOUBLE")
 
 
 def _attracted(extra: str = "0") -> str:
@@ -139,6 +142,13 @@ tentative AS (
         GROUP BY {_TAXON}, marked)
   GROUP BY {_TAXON})"""
 
+_LISTING = f""",
+listing AS (
+  SELECT *, row_number() OVER (PARTITION BY {_TAXON} ORDER BY first_seen, marked) - 1 AS place
+  FROM (SELECT {_TAXON}, marked, min(row_key) AS first_seen
+        FROM (SELECT *, {_marked("tentativeId")} AS marked FROM clean WHERE tentativeId IS NOT NULL)
+        GROUP BY {_TAXON}, marked))"""
+
 _SAME_TAXON = " AND ".join(f"r.{c} IS NOT DISTINCT FROM j.{c}" for c in _TAXON.split(", "))
 
 INVENTORY = (
@@ -202,13 +212,19 @@ zoned AS (
 )
 
 
-def _zone_top(group: str, name: str) -> str:
+INVENTORY_FINE = INVENTORY.replace(RANGES, RANGES_FINE)
+
+
+def _zone_top(group: str, name: str, with_null: bool = False) -> str:
+    units = "count(DISTINCT deployment)"
+    if with_null:
+        units += " + max(CASE WHEN deployment IS NULL THEN 1 ELSE 0 END)"
     return (
         ZONES
         + f""",
 counted AS (
-  SELECT depth_zone, zone_pos, fauna_group, {group} AS {name}, count(DISTINCT deployment) AS occ,
-         {_percent("count(DISTINCT deployment)", "any_value(valid_zone_deps)", 1)} AS freq_occ
+  SELECT depth_zone, zone_pos, fauna_group, {group} AS {name}, CAST({units} AS BIGINT) AS occ,
+         {_percent(f"({units})", "any_value(valid_zone_deps)", 1)} AS freq_occ
   FROM zoned WHERE {group} <> '' AND valid_for_freq GROUP BY depth_zone, zone_pos, fauna_group, {group}),
 top AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY depth_zone, fauna_group
@@ -217,9 +233,14 @@ top AS (
     )
 
 
+_GROUP = "CASE WHEN fauna_group = 'Fish' THEN family WHEN fauna_group <> 'Fish' THEN tax_order END"
 ZONE_TAXA = _zone_top("scientificName", "scientificName")
-ZONE_GROUPS = _zone_top(
-    "CASE WHEN fauna_group = 'Fish' THEN family WHEN fauna_group <> 'Fish' THEN tax_order END", "taxa_group"
+ZONE_TAXA_WITH_NULL = _zone_top("scientificName", "scientificName", True)
+ZONE_GROUPS = _zone_top(_GROUP, "taxa_group")
+ZONE_GROUPS_WITH_NULL = _zone_top(_GROUP, "taxa_group", True)
+# Both tables from the same zones, the second under other names.
+BOTH_ZONE_TABLES = ZONE_TAXA_WITH_NULL + ZONE_GROUPS_WITH_NULL.removeprefix(ZONES).replace("counted", "counted_groups").replace(
+    "top AS", "top_groups AS"
 )
 
 
@@ -286,6 +307,30 @@ SELECT count(*) AS total_deployments, count(*) FILTER (WHERE valid_for_freq) AS
        count(*) FILTER (WHERE lower(substrate_type) LIKE '%hard%') AS n_hard
 FROM meta"""
 
+_AUDIT = """
+SELECT (SELECT count(*) FROM merged) AS rows_before, (SELECT count(*) FROM kept) AS rows_after,
+       (SELECT count(*) FROM merged) - (SELECT count(*) FROM kept) AS rows_dropped"""
+
+# A field log with a second, deeper entry for the deployments of two places.
+REPEATED = PREFIX.replace(
+    """
+  FROM orders),
+freq_exclusions""",
+    """
+  FROM orders),
+twice AS (
+  SELECT * FROM field_log
+  UNION ALL SELECT deployment, depth_m + 100, location, substrate_type FROM field_log WHERE location IN ('L3', 'L4')),
+freq_exclusions""",
+).replace("LEFT JOIN field_log f", "LEFT JOIN twice f")
+
+# Columns of the sheet that the model does not know.
+ALL_COLUMNS = PREFIX.replace(
+    "l_orderkey * 10 + l_linenumber AS row_key",
+    'l_orderkey * 10 + l_linenumber AS row_key, l_suppkey AS observer, l_linestatus AS "Notes (free)",\n'
+    "         l_returnflag AS location_annotated",
+)
+
 _NULL_UNIT = "max(CASE WHEN deployment IS NULL THEN 1 ELSE 0 END)"
 
 ORACLES: dict[str, str] = {
@@ -295,10 +340,17 @@ ORACLES: dict[str, str] = {
 SELECT a.* FROM annotations a
 WHERE NOT EXISTS (SELECT 1 FROM manual_exclusions e WHERE e.deployment IS NOT DISTINCT FROM a.deployment
                   AND e.scientificName IS NOT DISTINCT FROM a.scientificName)""",
-    "exclusion_audit": PREFIX
+    "exclusion_audit": PREFIX + _AUDIT,
+    "exclusion_audit_of_repeats": REPEATED + _AUDIT,
+    "written_counts": REPEATED + _AUDIT,
+    "written_exclusions": REPEATED
     + """
-SELECT (SELECT count(*) FROM merged) AS rows_before, (SELECT count(*) FROM kept) AS rows_after,
-       (SELECT count(*) FROM merged) - (SELECT count(*) FROM kept) AS rows_dropped""",
+SELECT m.*, NOT EXISTS (SELECT 1 FROM freq_exclusions e
+                        WHERE e.deployment IS NOT DISTINCT FROM m.deployment) AS valid_for_freq
+FROM merged m WHERE EXISTS (SELECT 1 FROM manual_exclusions e WHERE e.deployment IS NOT DISTINCT FROM m.deployment
+                            AND e.scientificName IS NOT DISTINCT FROM m.scientificName)""",
+    "merge_unique_log": PREFIX + "\nSELECT * FROM merged",
+    "flag_effort_without_list": PREFIX + "\nSELECT *, TRUE AS valid_for_freq FROM annotations",
     "flag_effort": PREFIX
     + """
 SELECT a.*, NOT EXISTS (SELECT 1 FROM freq_exclusions e
@@ -306,6 +358,11 @@ SELECT a.*, NOT EXISTS (SELECT 1 FROM freq_exclusions e
 FROM annotations a""",
     "effort_audit": PREFIX + "\nSELECT count(*) AS listed_rows FROM freq_exclusions",
     "clean_table": PREFIX + "\nSELECT * FROM clean",
+    "clean_table_all_columns": ALL_COLUMNS + "\nSELECT * FROM clean",
+    "clean_table_written": ALL_COLUMNS + "\nSELECT * FROM clean",
+    "annotations_from_csv": PREFIX + "\nSELECT * REPLACE (nullif(family, '') AS family) FROM annotations",
+    "field_log_from_csv": PREFIX + "\nSELECT * FROM field_log",
+    "listed_deployments": PREFIX + "\nSELECT * FROM freq_exclusions",
     "refine_taxa": PREFIX + REFINED + "\nSELECT * FROM refined",
     "refine_taxa_normalised": PREFIX + REFINED_NORMALISED + "\nSELECT * FROM refined",
     "true_richness": PREFIX + REFINED + f"\nSELECT {_TAXON}, taxonRank FROM refined WHERE NOT is_redundant",
@@ -329,13 +386,22 @@ SELECT deployment, depth_m, substrate_type, valid_for_freq, {_TAXON}, taxonRank,
        max(individualCount) AS individualCount
 FROM clean GROUP BY ALL""",
     "depth_ranges": PREFIX + RANGES + "\nSELECT * FROM ranges",
+    "depth_ranges_fine": PREFIX + RANGES_FINE + "\nSELECT * FROM ranges",
     "attracted_metrics": PREFIX + META + _attracted() + "\nSELECT * FROM metrics",
     "attracted_metrics_with_null": PREFIX
     + META
     + _attracted("max(CASE WHEN valid_for_freq AND deployment IS NULL THEN 1 ELSE 0 END)")
     + "\nSELECT * FROM metrics",
+    "tentative_listing": PREFIX + _LISTING + "\nSELECT * FROM listing",
+    "tentative_pieces": PREFIX
+    + _LISTING
+    + f"""
+SELECT {_TAXON}, place // 2 AS piece, string_agg(marked, ', ' ORDER BY place) AS text
+FROM listing GROUP BY {_TAXON}, place // 2""",
     "tentative_ids": PREFIX + TENTATIVE + "\nSELECT * FROM tentative",
     "taxon_inventory": PREFIX + INVENTORY + "\nSELECT * FROM inventory",
+    "inventory_from_sets": PREFIX + INVENTORY + "\nSELECT * FROM inventory",
+    "taxon_inventory_fine": PREFIX + INVENTORY_FINE + "\nSELECT * FROM inventory",
     "inventory_labels": PREFIX
     + INVENTORY
     + """
@@ -354,6 +420,7 @@ WHERE phylum = 'P0' AND coalesce(class NOT IN ('C0', 'C24'), TRUE) AND family <>
     "order_count": PREFIX
     + "\nSELECT count(DISTINCT tax_order) AS n_groups FROM clean WHERE phylum <> 'P0' AND tax_order <> ''",
     "family_frequency": PREFIX + META + _frequency("family", "="),
+    "family_frequency_with_null": PREFIX + META + _frequency("family", "=", _NULL_UNIT),
     "order_frequency": PREFIX + META + _frequency("tax_order", "<>"),
     "order_frequency_with_null": PREFIX + META + _frequency("tax_order", "<>", _NULL_UNIT),
     "top_maxn_in": PREFIX + _top_max_n("="),
@@ -362,6 +429,16 @@ WHERE phylum = 'P0' AND coalesce(class NOT IN ('C0', 'C24'), TRUE) AND family <>
     "zone_enriched": PREFIX + ZONES + "\nSELECT * FROM zoned",
     "zone_taxa_top10": PREFIX + ZONE_TAXA + "\nSELECT * FROM top",
     "zone_groups_top10": PREFIX + ZONE_GROUPS + "\nSELECT * FROM top",
+    "zone_taxa_with_null": PREFIX + ZONE_TAXA_WITH_NULL + "\nSELECT * FROM top",
+    "zone_groups_with_null": PREFIX + ZONE_GROUPS_WITH_NULL + "\nSELECT * FROM top",
+    "frequencies_from_sets": PREFIX
+    + BOTH_ZONE_TABLES
+    + f"""
+SELECT 'family' AS kind, NULL::VARCHAR AS depth_zone, NULL::VARCHAR AS fauna_group, family AS taxon, NULL::BIGINT AS occ, freq_occ
+FROM ({_frequency("family", "=", _NULL_UNIT)})
+UNION ALL SELECT 'order', NULL, NULL, tax_order, NULL, freq_occ FROM ({_frequency("tax_order", "<>", _NULL_UNIT)})
+UNION ALL SELECT 'zone taxon', depth_zone, fauna_group, scientificName, occ, freq_occ FROM top
+UNION ALL SELECT 'zone group', depth_zone, fauna_group, taxa_group, occ, freq_occ FROM top_groups""",
     "zone_fish": PREFIX + ZONE_TAXA + "\nSELECT * EXCLUDE (fauna_group) FROM top WHERE fauna_group = 'Fish'",
     "zone_inverts": PREFIX
     + ZONE_TAXA
@@ -375,6 +452,8 @@ WHERE phylum = 'P0' AND coalesce(class NOT IN ('C0', 'C24'), TRUE) AND family <>
     "taxa_beyond": PREFIX + OVERLAP + "\nSELECT * FROM beyond",
     "threshold_overlap": PREFIX + OVERLAP + "\nSELECT * FROM overlap",
     "threshold_overlap_with_null": PREFIX + OVERLAP_WITH_NULL + "\nSELECT * FROM overlap",
+    "threshold_overlap_of_names": PREFIX + OVERLAP + "\nSELECT * FROM overlap",
+    "overlap_from_sets": PREFIX + OVERLAP_WITH_NULL + "\nSELECT * FROM overlap",
     "exclusive_taxa": PREFIX
     + OVERLAP
     + """
@@ -403,4 +482,24 @@ SELECT metric, value FROM (
          unnest([CAST(total_deployments AS DOUBLE), valid_deployments, mean_depth, sd_depth, min_depth, max_depth,
                  n_soft, n_hard, total_taxa, phylum_taxa, other_taxa, n_phyla, n_groups, taxa_beyond]) AS value
   FROM figures)""",
+    "report_figures": PREFIX
+    + META
+    + REFINED
+    + f"""
+, summary AS ({_SUMMARY}), richness AS ({_RICHNESS}),
+figures(metric, value) AS (
+  SELECT unnest(['total_deployments', 'valid_deployments', 'mean_depth', 'sd_depth', 'min_depth', 'max_depth', 'n_soft',
+                 'n_hard']),
+         unnest([CAST(total_deployments AS DOUBLE), valid_deployments, mean_depth, sd_depth, min_depth, max_depth, n_soft,
+                 n_hard]) FROM summary
+  UNION ALL SELECT unnest(['total_taxa', 'phylum_taxa', 'other_taxa']), unnest([total_taxa, phylum_taxa, other_taxa]) FROM richness
+  UNION ALL SELECT 'axis_bound', ceil(max(depth_m) / 100) * 100 FROM meta
+  UNION ALL SELECT 'cartilaginous_taxa', count(*) FROM refined WHERE NOT is_redundant AND class IN ('C0', 'C12')
+  UNION ALL SELECT 'bony_families', count(DISTINCT family) FROM clean
+            WHERE phylum = 'P0' AND coalesce(class NOT IN ('C0', 'C24'), TRUE) AND family <> ''
+  UNION ALL SELECT 'n_phyla', count(*) FROM (SELECT DISTINCT phylum FROM clean)
+  UNION ALL SELECT 'phylum_families', count(DISTINCT family) FROM clean WHERE phylum = 'P0' AND family <> ''
+  UNION ALL SELECT 'other_orders', count(DISTINCT tax_order) FROM clean WHERE phylum <> 'P0' AND tax_order <> ''
+  UNION ALL SELECT 'taxa_beyond', count(DISTINCT scientificName) FROM clean WHERE depth_m > 1900 AND scientificName <> '')
+SELECT metric, CAST(value AS DOUBLE) AS value FROM figures""",
 }

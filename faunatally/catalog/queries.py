@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faunatally.catalog import files
 from faunatally.catalog.binding import (
     DISPLAY_EXCLUSIONS,
     EXCLUDED_CLASSES,
@@ -22,7 +24,9 @@ from faunatally.operators import preparation as prep
 from faunatally.operators import taxonomy as tax
 from faunatally.operators import threshold as thr
 from faunatally.operators import zones as zon
-from faunatally.plans.report import ReportNames, metrics_table
+from faunatally.operators.presence import presence_sets, unit_numbers
+from faunatally.plans.report import ReportNames, metrics_table, report
+from faunatally.session import materialise
 
 REPORT_NAMES = ReportNames(PHYLUM, RICHNESS_CLASSES, EXCLUDED_CLASSES, DISPLAY_EXCLUSIONS)
 
@@ -45,9 +49,39 @@ def _zoned(t: Tables) -> DataFrame:
     return zon.with_zone(t.clean, zon.zone_effort(_meta(t)), PHYLUM)
 
 
-def _inventory(t: Tables) -> DataFrame:
+def _fine(t: Tables) -> DataFrame:
+    """Depths that no short binary fraction holds."""
+    return t.clean.withColumn("depth_m", F.col("depth_m") * 0.1)
+
+
+def _sets(t: Tables) -> DataFrame:
+    """Presence sets from one read of the clean table."""
+    sightings = materialise(occ.compact_sightings(t.clean))
+    return materialise(presence_sets(sightings, unit_numbers(sightings), threshold=thr.THRESHOLD))
+
+
+def _frequencies(t: Tables) -> DataFrame:
+    """Every frequency of the report, overall and by zone, from one table of presence sets."""
+    sightings = materialise(occ.compact_sightings(t.clean))
+    meta = eff.deploy_meta(sightings)
+    sets = materialise(presence_sets(sightings, unit_numbers(meta), threshold=thr.THRESHOLD))
+    effort = eff.valid_effort(meta)
+    zoned = zon.with_zone(sets, zon.zone_effort(meta), PHYLUM)
+    rows = [
+        occ.family_frequency(sets, PHYLUM, effort, count_null=True).withColumnRenamed("family", "taxon"),
+        occ.order_frequency(sets, PHYLUM, effort, count_null=True).withColumnRenamed("tax_order", "taxon"),
+        zon.zone_taxa(zoned, count_null=True).withColumnRenamed("scientificName", "taxon"),
+        zon.zone_groups(zoned, count_null=True).withColumnRenamed("taxa_group", "taxon"),
+    ]
+    kinds = ("family", "order", "zone taxon", "zone group")
+    columns = ["kind", "depth_zone", "fauna_group", "taxon", "occ", "freq_occ"]
+    named = [r.withColumn("kind", F.lit(k)) for r, k in zip(rows, kinds)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named).select(*columns)
+
+
+def _inventory(t: Tables, clean: DataFrame | None = None) -> DataFrame:
     return inv.taxon_inventory(
-        occ.depth_ranges(t.clean),
+        occ.depth_ranges(t.clean if clean is None else clean),
         occ.attracted_metrics(t.clean, _effort(t)),
         inv.tentative_ids(t.clean),
         t.keys,
@@ -72,11 +106,29 @@ QUERIES: dict[str, Query] = {
         t.annotations, t.manual_exclusions, small=t.fits.manual_exclusions
     ),
     "exclusion_audit": lambda t: prep.exclusion_audit(
-        t.annotations, t.manual_exclusions, small=t.fits.manual_exclusions
+        prep.merge_field_log(t.annotations, t.field_log, small=t.fits.field_log),
+        t.manual_exclusions,
+        small=t.fits.manual_exclusions,
+    ),
+    "exclusion_audit_of_repeats": lambda t: prep.exclusion_audit(
+        prep.merge_field_log(t.annotations, t.repeated_log, small=t.fits.field_log),
+        t.manual_exclusions,
+        small=t.fits.manual_exclusions,
+    ),
+    "written_counts": files.written_counts,
+    "written_exclusions": files.written_exclusions,
+    "merge_unique_log": lambda t: prep.merge_field_log(
+        t.annotations, t.field_log, small=t.fits.field_log, repeats="raise"
     ),
     "flag_effort": lambda t: prep.flag_effort(t.annotations, t.freq_exclusions, small=t.fits.freq_exclusions),
     "effort_audit": lambda t: prep.effort_audit(t.freq_exclusions),
+    "flag_effort_without_list": lambda t: prep.flag_effort(t.annotations, None),
     "clean_table": lambda t: t.clean,
+    "clean_table_all_columns": lambda t: t.clean_all_columns,
+    "clean_table_written": files.clean_table_written,
+    "annotations_from_csv": files.annotations_from_csv,
+    "field_log_from_csv": files.field_log_from_csv,
+    "listed_deployments": files.listed_deployments,
     "refine_taxa": _refined,
     "refine_taxa_normalised": lambda t: tax.refine_taxa(t.clean, normalise_first=True),
     "true_richness": lambda t: tax.true_richness(_refined(t)).select(*tax.TAXON, "taxonRank"),
@@ -92,8 +144,12 @@ QUERIES: dict[str, Query] = {
     "depth_ranges": lambda t: occ.depth_ranges(t.clean),
     "attracted_metrics": lambda t: occ.attracted_metrics(t.clean, _effort(t)),
     "attracted_metrics_with_null": lambda t: occ.attracted_metrics(t.clean, _effort(t), count_null=True),
+    "depth_ranges_fine": lambda t: occ.depth_ranges(_fine(t)),
+    "tentative_listing": lambda t: inv.tentative_listing(t.clean),
+    "tentative_pieces": lambda t: inv.tentative_pieces(inv.tentative_listing(t.clean), size=2),
     "tentative_ids": lambda t: inv.tentative_ids(t.clean),
     "taxon_inventory": _inventory,
+    "taxon_inventory_fine": lambda t: _inventory(t, _fine(t)),
     "inventory_labels": lambda t: inv.labelled_inventory(_inventory(t)),
     "families_excluding": lambda t: occ.families_excluding(t.clean, PHYLUM, EXCLUDED_CLASSES),
     "distinct_phyla": lambda t: occ.distinct_phyla(t.clean),
@@ -101,6 +157,7 @@ QUERIES: dict[str, Query] = {
     "family_count": lambda t: occ.family_count(t.clean, PHYLUM),
     "order_count": lambda t: occ.group_count(t.clean, PHYLUM),
     "family_frequency": lambda t: occ.family_frequency(t.clean, PHYLUM, _effort(t)),
+    "family_frequency_with_null": lambda t: occ.family_frequency(t.clean, PHYLUM, _effort(t), count_null=True),
     "order_frequency": lambda t: occ.order_frequency(t.clean, PHYLUM, _effort(t)),
     "order_frequency_with_null": lambda t: occ.order_frequency(t.clean, PHYLUM, _effort(t), count_null=True),
     "top_maxn_in": lambda t: occ.top_max_n(t.clean, where=F.col("phylum") == PHYLUM),
@@ -109,6 +166,8 @@ QUERIES: dict[str, Query] = {
     "zone_enriched": _zoned,
     "zone_taxa_top10": lambda t: zon.zone_taxa(_zoned(t)),
     "zone_groups_top10": lambda t: zon.zone_groups(_zoned(t)),
+    "zone_taxa_with_null": lambda t: zon.zone_taxa(_zoned(t), count_null=True),
+    "zone_groups_with_null": lambda t: zon.zone_groups(_zoned(t), count_null=True),
     "zone_fish": lambda t: zon.fauna_listing(zon.zone_taxa(_zoned(t)), zon.FISH),
     "zone_inverts": lambda t: zon.fauna_listing(zon.zone_taxa(_zoned(t)), zon.INVERTEBRATE),
     "zone_fish_families": lambda t: zon.fauna_listing(zon.zone_groups(_zoned(t)), zon.FISH),
@@ -116,9 +175,20 @@ QUERIES: dict[str, Query] = {
     "taxa_beyond": lambda t: thr.taxa_beyond(t.clean),
     "threshold_overlap": lambda t: thr.threshold_overlap(t.clean),
     "threshold_overlap_with_null": lambda t: thr.threshold_overlap(t.clean, count_null=True),
+    "threshold_overlap_of_names": lambda t: thr.threshold_overlap(t.clean, thr.taxa_beyond(t.clean)),
     "exclusive_taxa": lambda t: thr.exclusive_taxa(thr.threshold_overlap(t.clean)),
     "shared_taxa": lambda t: thr.shared_taxa(thr.threshold_overlap(t.clean)),
     "report_metrics": _metrics,
+    "report_figures": lambda t: report(t.clean, t.keys, REPORT_NAMES, share=materialise)["metrics"],
+    "frequencies_from_sets": _frequencies,
+    "overlap_from_sets": lambda t: thr.threshold_overlap(_sets(t), count_null=True),
+    "inventory_from_sets": lambda t: inv.taxon_inventory(
+        occ.depth_ranges(_sets(t)),
+        occ.attracted_metrics(_sets(t), _effort(t)),
+        inv.tentative_ids(t.clean),
+        t.keys,
+        DISPLAY_EXCLUSIONS,
+    ),
 }
 
 

@@ -24,6 +24,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     prep.add_argument("--field-log-format", default="csv", choices=["parquet", "csv", "orc"])
     prep.add_argument("--manual-exclusions", help="CSV of records to leave out; may be absent")
     prep.add_argument("--freq-exclusions", help="CSV of deployments that do not count as effort; may be absent")
+    prep.add_argument("--repeats", default="keep", choices=["keep", "raise"], help="deployments logged more than once")
     prep.add_argument("--clean", required=True, help="folder for the clean table")
     prep.add_argument("--audit", help="folder for the counts of removed records and listed deployments")
 
@@ -46,6 +47,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             freq_exclusions_path=args.freq_exclusions,
             annotations_format=args.annotations_format,
             field_log_format=args.field_log_format,
+            repeats=args.repeats,
         )
         if args.audit:
             write_results(audit, args.audit)

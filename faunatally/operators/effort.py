@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faunatally.functions import half_even
@@ -24,10 +24,17 @@ def valid_effort(meta: DataFrame) -> DataFrame:
     return meta.agg(F.count_if("valid_for_freq").alias("valid_deployments"))
 
 
-def sampling_summary(meta: DataFrame) -> DataFrame:
-    """One row of totals, depth statistics and substrate counts. ``Hard/Soft`` counts as both."""
+def _bound(largest: Column, step: float) -> Column:
+    return (F.ceil(largest / step) * step).cast("double")
+
+
+def sampling_summary(meta: DataFrame, bound_step: float | None = None) -> DataFrame:
+    """One row of totals, depth statistics and substrate counts. ``Hard/Soft`` counts as both.
+
+    With ``bound_step`` it has the ``axis_bound`` too, from the same aggregate.
+    """
     substrate = F.lower("substrate_type")
-    return meta.agg(
+    summary = meta.agg(
         F.count(F.lit(1)).alias("total_deployments"),
         F.count_if("valid_for_freq").alias("valid_deployments"),
         half_even(F.avg("depth_m"), 1).alias("mean_depth"),
@@ -37,11 +44,12 @@ def sampling_summary(meta: DataFrame) -> DataFrame:
         F.count_if(substrate.contains("soft")).alias("n_soft"),
         F.count_if(substrate.contains("hard")).alias("n_hard"),
     )
+    return summary if bound_step is None else summary.withColumn("axis_bound", _bound(F.col("max_depth"), bound_step))
 
 
 def axis_bound(meta: DataFrame, step: float = 100) -> DataFrame:
     """One row: the largest depth rounded up to a full step, the lower end of the depth axis."""
-    return meta.agg((F.ceil(F.max("depth_m") / step) * step).cast("double").alias("axis_bound"))
+    return meta.agg(_bound(F.max("depth_m"), step).alias("axis_bound"))
 
 
 def depth_profile(meta: DataFrame, width: float = 100, closed: Literal["left", "right"] = "left") -> DataFrame:

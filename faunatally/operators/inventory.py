@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faunatally.functions import blank_if_null, marked_name, not_listed_in
 from faunatally.operators.keyed_join import fits_broadcast, keyed_join, null_safe_join
+from faunatally.operators.numbering import number_sorted
 from faunatally.schema import RANKS, TAXON
 
 # Places of names that the key list of their level does not have, and of missing names: after all listed ones.
@@ -30,22 +31,40 @@ INVENTORY_LABELS = {
 }
 
 
+def tentative_listing(df: DataFrame, by: Sequence[str] = TAXON) -> DataFrame:
+    """The tentative identifications in long form: taxon, ``marked`` (marked up), ``first_seen`` and ``place`` from 0.
+
+    First seen means smallest ``row_key``; equal keys go by value. Repeats are folded in the map tasks and the rest is ranked
+    over range partitions, so a taxon with most of the identifications is spread over many tasks.
+    """
+    seen = _first_seen(df, by)
+    return number_sorted(seen, ["first_seen", "marked"], "place", per=list(by))
+
+
+def _first_seen(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    rows = df.where(F.col("tentativeId").isNotNull())
+    marked = marked_name(F.col("tentativeId"), F.col("family")).alias("marked")
+    # the markup may need a column of ``by`` and more, so it is made before the rows are folded
+    return rows.select(*by, marked, "row_key").groupBy(*by, "marked").agg(F.min("row_key").alias("first_seen"))
+
+
+def tentative_pieces(listing: DataFrame, by: Sequence[str] = TAXON, size: int = 1000) -> DataFrame:
+    """(taxon, piece, text): the listing joined by ``", "`` in pieces of at most ``size`` identifications each."""
+    piece = F.floor(F.col("place") / size).alias("piece")
+    in_order = F.array_sort(F.collect_list(F.struct("place", "marked")))
+    pieces = listing.select(*by, piece, "place", "marked").groupBy(*by, "piece").agg(in_order.alias("list"))
+    return pieces.select(*by, "piece", F.concat_ws(", ", F.col("list.marked")).alias("text"))
+
+
 def tentative_ids(df: DataFrame, by: Sequence[str] = TAXON) -> DataFrame:
     """Marked-up tentative identifications per taxon, each once, in the order first seen, joined by ``", "``.
 
-    First seen means smallest ``row_key``; equal keys go by value. Repeats are folded before anything is collected,
-    so a list holds one entry per distinct identification and is no longer than the text it becomes.
+    Repeats are folded before anything is collected, so a list holds one entry per distinct identification and is no longer
+    than the text it becomes. Where that text is too much for one cell, ``tentative_pieces`` has it in bounded ones.
     """
-    rows = df.where(F.col("tentativeId").isNotNull()).withColumn(
-        "__marked", marked_name(F.col("tentativeId"), F.col("family"))
-    )
-    in_order = F.array_sort(F.collect_list(F.struct("__seen", "__marked")))
-    return (
-        rows.groupBy(*by, "__marked")
-        .agg(F.min("row_key").alias("__seen"))
-        .groupBy(*by)
-        .agg(F.concat_ws(", ", F.transform(in_order, lambda e: e["__marked"])).alias("t_ids"))
-    )
+    in_order = F.array_sort(F.collect_list(F.struct("first_seen", "marked")))
+    lists = _first_seen(df, by).groupBy(*by).agg(in_order.alias("list"))
+    return lists.select(*by, F.concat_ws(", ", F.col("list.marked")).alias("t_ids"))
 
 
 def with_positions(df: DataFrame, keys: DataFrame, levels: Sequence[str] = RANKS) -> DataFrame:

@@ -189,3 +189,18 @@ def mark_listed(
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur on more than one row, with their row count. Empty for a table that is unique on them."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+
+
+def unique_keys(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """The table, which must have one row per key: the plan fails on the first key that has more, NULL being a key too.
+
+    The test is part of the plan, so nothing that depends on the table can be written before it has passed.
+    """
+    others = [c for c in df.columns if c not in keys]
+    folded = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(_ROWS), F.max(F.struct(*others) if others else F.lit(0)).alias("__others")
+    )
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    message = F.concat(F.lit(f"{what}: "), F.col(_ROWS).cast("string"), F.lit(f" rows for {', '.join(keys)} = "), shown)
+    single = F.when(F.col(_ROWS) > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return folded.where(single).select(*keys, *[F.col("__others")[c].alias(c) for c in others]).select(*df.columns)

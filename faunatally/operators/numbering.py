@@ -21,20 +21,35 @@ _FIRST = "__first"
 _BEFORE = "__before"
 
 
-def number_in_blocks(rows: DataFrame, block: Sequence[str], slot: str, name: str, *, per: Sequence[str] = ()) -> DataFrame:
-    """Number rows from 0 by block and place in it, anew for each value of ``per``.
-
-    ``slot`` grows by one from row to row of a block. ``rows`` must be a stored table: it is read twice, and both
-    times must show the same slots. The running sum is over one row per block, so its one task sees no data rows.
-    """
+def block_starts(rows: DataFrame, block: Sequence[str], slot: str, *, per: Sequence[str] = ()) -> DataFrame:
+    """One row per block: its first slot, and how many rows of its ``per`` value come in earlier blocks."""
     before = Window.partitionBy(*per).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
+    return (
         rows.groupBy(*per, *block)
         .agg(F.min(slot).alias(_FIRST), F.count(F.lit(1)).alias("__n"))
         .withColumn(_BEFORE, F.coalesce(F.sum("__n").over(before), F.lit(0)))
         .drop("__n")
     )
-    placed = keyed_join(rows, blocks, [*per, *block], "left", spread_by=[slot])
+
+
+def number_in_blocks(
+    rows: DataFrame,
+    block: Sequence[str],
+    slot: str,
+    name: str,
+    *,
+    per: Sequence[str] = (),
+    starts: DataFrame | None = None,
+) -> DataFrame:
+    """Number rows from 0 by block and place in it, anew for each value of ``per``.
+
+    ``slot`` grows by one from row to row of a block. ``rows`` must be a stored table: it is read twice, and both
+    times must show the same slots. The running sum is over one row per block, so its one task sees no data rows.
+    Give the ``block_starts`` of a whole table to number some of its rows.
+    """
+    if starts is None:
+        starts = block_starts(rows, block, slot, per=per)
+    placed = keyed_join(rows, starts, [*per, *block], "left", spread_by=[slot])
     return placed.withColumn(name, F.col(_BEFORE) + F.col(slot) - F.col(_FIRST)).drop(_BEFORE, _FIRST)
 
 

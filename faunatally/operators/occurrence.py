@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faunatally.functions import not_blank, not_listed_in, number_text, percent, range_text
+from faunatally.operators.presence import fold_units, is_sets, number_of_units
 from faunatally.schema import TAXON
 
 ATTRACTED = "Attracted"  # fixed value
@@ -29,8 +30,8 @@ def count_units(df: DataFrame, by: Sequence[str], unit: str, name: str, *, count
 
     A NULL unit is left out, or counted as one unit of its own with ``count_null``.
     """
-    counted = F.lit(1) if count_null else F.col(unit)
-    return df.select(*by, unit).distinct().groupBy(*by).agg(F.count(counted).alias(name))
+    counted = fold_units(df, by, unit, {name: F.lit(True)})
+    return counted.select(*by, number_of_units(name, count_null).alias(name))
 
 
 def distinct_values(df: DataFrame, column: str, name: str, *, count_null: bool = False) -> DataFrame:
@@ -41,9 +42,10 @@ def distinct_values(df: DataFrame, column: str, name: str, *, count_null: bool =
 
 def depth_ranges(df: DataFrame, by: Sequence[str] = TAXON) -> DataFrame:
     """Smallest and largest depth per taxon, and both as one text. A taxon of unknown depth gets NULLs."""
+    low, high = ("min_depth", "max_depth") if is_sets(df) else ("depth_m", "depth_m")
     return (
         df.groupBy(*by)
-        .agg(F.min("depth_m").alias("min_depth"), F.max("depth_m").alias("max_depth"))
+        .agg(F.min(low).alias("min_depth"), F.max(high).alias("max_depth"))
         .withColumn("depth_range", range_text(F.col("min_depth"), F.col("max_depth")))
     )
 
@@ -60,18 +62,14 @@ def attracted_metrics(
 
     The frequency counts valid deployments only, MaxN uses all. Rows are first folded per taxon and deployment.
     """
-    known = F.lit(True) if count_null else F.col(unit).isNotNull()
-    return (
-        df.where(F.col("attracted") == ATTRACTED)
-        .groupBy(*by, unit)
-        .agg(F.bool_or("valid_for_freq").alias("valid"), F.max("individualCount").alias("count"))
-        .groupBy(*by)
-        .agg(F.count_if(F.col("valid") & known).alias("n_units"), F.max("count").alias("count"))
-        .select(
-            *by,
-            number_text(percent(F.col("n_units"), effort.scalar(), 0)).alias("freq_occ"),
-            F.col("count").cast("string").alias("max_n"),
-        )
+    rows = df.where(F.col("attracted") == ATTRACTED)
+    found = fold_units(
+        rows, by, unit, {"n_units": F.col("valid_for_freq")}, {"count": ("max", F.col("individualCount"))}
+    )
+    return found.select(
+        *by,
+        number_text(percent(number_of_units("n_units", count_null), effort.scalar(), 0)).alias("freq_occ"),
+        F.col("count").cast("string").alias("max_n"),
     )
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faunatally.operators.keyed_join import keyed_join, mark_listed
+from faunatally.operators.keyed_join import keyed_join, mark_listed, unique_keys
 from faunatally.schema import ANNOTATION_DEPTH, FIELD_LOG
 
 RECORD_KEYS = ("deployment", "scientificName")
@@ -21,18 +22,39 @@ def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
+Repeats = Literal["keep", "raise"]
+
+
+def _own_columns(annotations: DataFrame) -> DataFrame:
+    """The annotations without their own depth; other columns that the log has too get another name."""
+    if ANNOTATION_DEPTH in annotations.columns:
+        annotations = drop_columns(annotations, ANNOTATION_DEPTH)
+    shared = [n for n in (*FIELD_LOG.names[1:], "valid_for_freq") if n in annotations.columns]
+    return annotations.withColumnsRenamed({n: f"{n}_annotated" for n in shared})
+
+
+def _log_entries(field_log: DataFrame, key: str, repeats: Repeats) -> DataFrame:
+    if repeats not in ("keep", "raise"):
+        raise ValueError(f"repeats must be 'keep' or 'raise', not {repeats!r}")
+    facts = field_log.select(key, *FIELD_LOG.names[1:])
+    return unique_keys(facts, [key], "field log") if repeats == "raise" else facts
+
+
 def merge_field_log(
-    annotations: DataFrame, field_log: DataFrame, key: str = "deployment", *, small: bool | None = None
+    annotations: DataFrame,
+    field_log: DataFrame,
+    key: str = "deployment",
+    *,
+    small: bool | None = None,
+    repeats: Repeats = "keep",
 ) -> DataFrame:
     """Give every annotation its deployment's depth, location and substrate.
 
     Annotations without a log entry stay, with NULLs. The annotation sheet's own depth is dropped in favour of the
-    log's. A deployment logged twice yields its annotations twice; ``repeated_keys`` finds such deployments.
+    log's; of its other columns, one that the log has too is kept as ``<name>_annotated``. A deployment logged twice
+    yields its annotations twice, or with ``repeats="raise"`` fails the plan; ``repeated_keys`` finds such deployments.
     """
-    if ANNOTATION_DEPTH in annotations.columns:
-        annotations = drop_columns(annotations, ANNOTATION_DEPTH)
-    facts = field_log.select(key, *[f.name for f in FIELD_LOG.fields[1:]])
-    return keyed_join(annotations, facts, [key], "left", small=small)
+    return keyed_join(_own_columns(annotations), _log_entries(field_log, key, repeats), [key], "left", small=small)
 
 
 def apply_exclusions(
@@ -44,11 +66,29 @@ def apply_exclusions(
 ) -> DataFrame:
     """Remove the rows named by an exclusion list; without a list nothing is removed.
 
-    A NULL key in the list removes the rows with a NULL there.
+    A NULL key in the list removes the rows with a NULL there. The list is made distinct first.
     """
     if exclusions is None:
         return df
-    return keyed_join(df, exclusions.select(*keys), keys, "left_anti", small=small)
+    return keyed_join(df, exclusions.select(*keys).distinct(), keys, "left_anti", small=small)
+
+
+def mark_exclusions(
+    df: DataFrame,
+    exclusions: DataFrame | None,
+    keys: Sequence[str] = RECORD_KEYS,
+    *,
+    name: str = "excluded",
+    small: bool | None = None,
+    count_in: DataFrame | None = None,
+) -> DataFrame:
+    """Mark the rows that ``apply_exclusions`` would remove, with a never-NULL boolean, and keep them all.
+
+    Written by the mark, kept and excluded rows are counted from the files of one pass over the rows.
+    """
+    if exclusions is None:
+        return df.withColumn(name, F.lit(False))
+    return mark_listed(df, exclusions, keys, name, small=small, count_in=count_in)
 
 
 def exclusion_audit(
@@ -60,15 +100,12 @@ def exclusion_audit(
 ) -> DataFrame:
     """One row: how many rows there were, how many stay and how many the exclusion list removes.
 
-    Counted from the key columns alone. It is a query of its own because counters filled in as a side effect of
-    the write would count a re-run task twice.
+    The rows are those that the list is applied to, after the merge with the field log, where a deployment logged twice
+    counts twice. Counted from the key columns alone, for a table that is not written by ``mark_exclusions``; counters
+    filled in as a side effect of a write would count a re-run task twice.
     """
-    if exclusions is None:
-        marked = df.select(F.lit(False).alias("excluded"))
-    else:
-        marked = mark_listed(
-            df.select(*{*keys, *({"row_key"} & set(df.columns))}), exclusions, keys, "excluded", small=small
-        )
+    narrow = df.select(*keys, *[c for c in ("row_key",) if c in df.columns])
+    marked = mark_exclusions(narrow, exclusions, keys, small=small)
     return marked.agg(
         F.count(F.lit(1)).alias("rows_before"),
         F.count_if(~F.col("excluded")).alias("rows_after"),
@@ -99,12 +136,14 @@ def effort_audit(exclusions: DataFrame | None, spark: SparkSession | None = None
     return exclusions.agg(F.count(F.lit(1)).alias("listed_rows"))
 
 
-def deployment_facts(field_log: DataFrame, exclusions: DataFrame | None, key: str = "deployment") -> DataFrame:
+def deployment_facts(
+    field_log: DataFrame, exclusions: DataFrame | None, key: str = "deployment", *, repeats: Repeats = "keep"
+) -> DataFrame:
     """Field log and effort flag as one table, one row per logged or listed deployment.
 
     Both are facts about a deployment, so one join brings both to the annotations instead of two.
     """
-    facts = field_log.select(*FIELD_LOG.names)
+    facts = _log_entries(field_log, key, repeats)
     if exclusions is None:
         return facts.withColumn("partial", F.lit(False))
     listed = exclusions.select(F.col(key).alias("__listed_key")).distinct().withColumn("partial", F.lit(True))
@@ -128,7 +167,5 @@ def merge_deployment_facts(
     count_in: DataFrame | None = None,
 ) -> DataFrame:
     """``merge_field_log`` followed by ``flag_effort``, in one join."""
-    if ANNOTATION_DEPTH in annotations.columns:
-        annotations = drop_columns(annotations, ANNOTATION_DEPTH)
-    merged = keyed_join(annotations, facts, [key], "left", small=small, count_in=count_in)
+    merged = keyed_join(_own_columns(annotations), facts, [key], "left", small=small, count_in=count_in)
     return merged.withColumn("valid_for_freq", ~F.coalesce("partial", F.lit(False))).drop("partial")

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faunatally.functions import DEPTH_ZONES, Band, band_label, band_position, if_known, not_blank, percent
+from faunatally.operators.occurrence import count_units
 from faunatally.operators.preparation import drop_columns
+from faunatally.operators.presence import is_sets
 
 # The two fauna groups.
 FISH = "Fish"
@@ -16,6 +18,8 @@ INVERTEBRATE = "Invertebrate"
 
 
 def _banded(df: DataFrame, bands: Sequence[Band]) -> DataFrame:
+    if is_sets(df):  # sets are made with their zone
+        return df.where(F.col("depth_zone").isNotNull())
     zoned = df.withColumn("depth_zone", band_label(F.col("depth_m"), bands)).where(F.col("depth_zone").isNotNull())
     return zoned.withColumn("zone_pos", band_position(F.col("depth_zone"), bands))
 
@@ -53,16 +57,13 @@ def zone_frequency(
     groups sends only ``n`` rows per task to the task that ranks it.
     """
     keys = ["depth_zone", "zone_pos", "fauna_group", group, "valid_zone_deps"]
-    counted = F.lit(1) if count_null else F.col(unit)
     rank = Window.partitionBy("depth_zone", "fauna_group").orderBy(
         F.desc_nulls_last("freq_occ"), F.asc_nulls_last(group)
     )
     return (
-        zoned.where(not_blank(F.col(group)) & F.col("valid_for_freq"))
-        .select(*keys, unit)
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.count(counted).alias("occ"))
+        count_units(
+            zoned.where(not_blank(F.col(group)) & F.col("valid_for_freq")), keys, unit, "occ", count_null=count_null
+        )
         .withColumn("freq_occ", percent(F.col("occ"), F.col("valid_zone_deps"), 1))
         .withColumn("rank_pos", F.row_number().over(rank))
         .where(F.col("rank_pos") <= n)

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Mapping
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faunatally.operators.keyed_join import fits_broadcast, repeated_keys
 from faunatally.operators.preparation import (
+    Repeats,
     apply_exclusions,
     deployment_facts,
     effort_audit,
-    exclusion_audit,
     flag_effort,
+    mark_exclusions,
     merge_deployment_facts,
     merge_field_log,
 )
 from faunatally.schema import CLEAN
 from faunatally.sources import (
-    read_annotations,
-    read_field_log,
-    read_freq_exclusions,
-    read_manual_exclusions,
+    Scan,
+    scan_annotations,
+    scan_field_log,
+    scan_freq_exclusions,
+    scan_manual_exclusions,
+    version_counts,
     write_clean,
 )
 
@@ -40,45 +47,71 @@ def measure(
     return Fits(*(t is None or fits_broadcast(t) for t in (field_log, manual_exclusions, freq_exclusions)))
 
 
-def clean_table(
+def marked_table(
     annotations: DataFrame,
     field_log: DataFrame,
     manual_exclusions: DataFrame | None = None,
     freq_exclusions: DataFrame | None = None,
     fits: Fits | None = None,
+    repeats: Repeats = "keep",
 ) -> DataFrame:
-    """Merge, exclude and flag; the side tables are measured first unless the caller has done so.
+    """Merge and flag, with a column ``excluded`` that marks the rows of the exclusion list.
 
-    Excluded rows go first, so that they are not carried through the joins. Side tables that fit are broadcast, and the
-    annotations are never shuffled. A field log too large for that is first combined with the effort list, so that
-    the annotations are shuffled once on their deployment and not twice.
+    The side tables are measured first unless the caller has done so. Those that fit are broadcast, and the
+    annotations are never shuffled. A field log too large for that is first combined with the effort list, so that the
+    annotations are shuffled once on their deployment and not twice.
     """
     if fits is None:
         fits = measure(field_log, manual_exclusions, freq_exclusions)
-    kept = apply_exclusions(annotations, manual_exclusions, small=fits.manual_exclusions)
     if fits.field_log:
-        merged = merge_field_log(kept, field_log, small=True)
-        clean = flag_effort(merged, freq_exclusions, small=fits.freq_exclusions, count_in=annotations)
+        merged = merge_field_log(annotations, field_log, small=True, repeats=repeats)
+        flagged = flag_effort(merged, freq_exclusions, small=fits.freq_exclusions, count_in=annotations)
     else:
-        facts = deployment_facts(field_log, freq_exclusions)
-        clean = merge_deployment_facts(kept, facts, small=False, count_in=annotations)
-    return clean.select(*CLEAN.names)
+        facts = deployment_facts(field_log, freq_exclusions, repeats=repeats)
+        flagged = merge_deployment_facts(annotations, facts, small=False, count_in=annotations)
+    marked = mark_exclusions(flagged, manual_exclusions, small=fits.manual_exclusions, count_in=annotations)
+    return _in_order(marked)
 
 
-def preparation_audit(
+def _in_order(df: DataFrame) -> DataFrame:
+    """The data model's columns first, then all others of the annotation sheet."""
+    return df.select(*CLEAN.names, *[c for c in df.columns if c not in CLEAN.names])
+
+
+def clean_table(
     annotations: DataFrame,
     field_log: DataFrame,
     manual_exclusions: DataFrame | None = None,
     freq_exclusions: DataFrame | None = None,
+    fits: Fits | None = None,
+    repeats: Repeats = "keep",
+) -> DataFrame:
+    """``marked_table`` without the excluded rows and their mark, for use without a write.
+
+    Excluded rows go first, so that they are not carried through the joins.
+    """
+    if fits is None:
+        fits = measure(field_log, manual_exclusions, freq_exclusions)
+    kept = apply_exclusions(annotations, manual_exclusions, small=fits.manual_exclusions)
+    none_left = fits._replace(manual_exclusions=True)
+    return marked_table(kept, field_log, None, freq_exclusions, none_left, repeats).drop("excluded")
+
+
+def preparation_audit(
+    clean_path: str, freq_exclusions: DataFrame | None, field_log: DataFrame, scans: Mapping[str, Scan]
 ) -> dict[str, DataFrame]:
-    """Removed records and listed deployments, as announced along the way, and deployments logged more than once.
+    """Removed records and listed deployments, as announced along the way; deployments logged more than once; cells that
+    could not be read.
 
-    The records are annotation rows, counted before the field log is joined.
+    The records are those of the merged table, counted from the files that were written.
     """
+    spark = field_log.sparkSession
+    rejected = [scan.rejected.select(F.lit(name).alias("table"), "*") for name, scan in scans.items()]
     return {
-        "exclusions": exclusion_audit(annotations, manual_exclusions),
-        "effort": effort_audit(freq_exclusions, annotations.sparkSession),
+        "exclusions": version_counts(spark, clean_path),
+        "effort": effort_audit(freq_exclusions, spark),
         "log_repeats": repeated_keys(field_log, ["deployment"]),
+        "rejected_cells": reduce(DataFrame.unionAll, rejected),
     }
 
 
@@ -92,11 +125,30 @@ def prepare(
     freq_exclusions_path: str | None = None,
     annotations_format: str = "parquet",
     field_log_format: str = "csv",
+    repeats: Repeats = "keep",
 ) -> dict[str, DataFrame]:
-    """Read the sheets and the lists that exist, write the clean table, and return the audit queries."""
-    annotations = read_annotations(spark, annotations_path, annotations_format)
-    field_log = read_field_log(spark, field_log_path, field_log_format)
-    manual = read_manual_exclusions(spark, manual_exclusions_path) if manual_exclusions_path else None
-    freq = read_freq_exclusions(spark, freq_exclusions_path) if freq_exclusions_path else None
-    write_clean(clean_table(annotations, field_log, manual, freq), clean_path)
-    return preparation_audit(annotations, field_log, manual, freq)
+    """Read the sheets and the lists that exist, write the clean table, and return the audit queries.
+
+    Kept and excluded rows are written in one pass, apart from each other, and the audit counts the written files. With
+    ``repeats="raise"`` a deployment logged more than once stops the job, and an earlier clean table stays; with
+    ``"keep"`` such deployments are reported before the write and their annotations repeated.
+    """
+    scans: dict[str, Scan | None] = {
+        "annotations": scan_annotations(spark, annotations_path, annotations_format),
+        "field_log": scan_field_log(spark, field_log_path, field_log_format),
+        "manual_exclusions": scan_manual_exclusions(spark, manual_exclusions_path) if manual_exclusions_path else None,
+        "freq_exclusions": scan_freq_exclusions(spark, freq_exclusions_path) if freq_exclusions_path else None,
+    }
+    found = {name: scan for name, scan in scans.items() if scan is not None}
+    annotations, field_log, manual, freq = (None if s is None else s.rows for s in scans.values())
+    if repeats == "keep":
+        _report_repeats(field_log)
+    write_clean(marked_table(annotations, field_log, manual, freq, repeats=repeats), clean_path, marked="excluded")
+    return preparation_audit(clean_path, freq, field_log, found)
+
+
+def _report_repeats(field_log: DataFrame, shown: int = 5) -> None:
+    repeated = repeated_keys(field_log, ["deployment"]).orderBy(F.desc("rows"), "deployment").limit(shown).collect()
+    if repeated:
+        names = ", ".join(f"{row['deployment']} ({row['rows']} times)" for row in repeated)
+        warnings.warn(f"logged more than once, annotations will be repeated: {names}", stacklevel=3)

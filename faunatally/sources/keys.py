@@ -11,30 +11,133 @@ from faunatally.schema import TAXON_KEYS
 # Phylogenetic order of the names at each level.
 PHYLOGENETIC_KEYS = {
     "phylum": (
-        "Foraminifera Microsporidia Porifera Cnidaria Ctenophora Nemertea Annelida Mollusca Arthropoda Echinodermata "
-        "Chaetognatha Chordata"
-    ).split(),
+        "Foraminifera",
+        "Microsporidia",
+        "Porifera",
+        "Cnidaria",
+        "Ctenophora",
+        "Nemertea",
+        "Annelida",
+        "Mollusca",
+        "Arthropoda",
+        "Echinodermata",
+        "Chaetognatha",
+        "Chordata",
+    ),
     "class": (
-        "Hexactinellida Hexacorallia Hydrozoa Octocorallia Scyphozoa Tentaculata Polychaeta Copepoda Malacostraca "
-        "Cephalopoda Gastropoda Asteroidea Crinoidea Echinoidea Holothuroidea Ophiuroidea Appendicularia Myxini "
-        "Holocephali Elasmobranchii Teleostei"
-    ).split(),
+        "Hexactinellida",
+        "Hexacorallia",
+        "Hydrozoa",
+        "Octocorallia",
+        "Scyphozoa",
+        "Tentaculata",
+        "Polychaeta",
+        "Copepoda",
+        "Malacostraca",
+        "Cephalopoda",
+        "Gastropoda",
+        "Asteroidea",
+        "Crinoidea",
+        "Echinoidea",
+        "Holothuroidea",
+        "Ophiuroidea",
+        "Appendicularia",
+        "Myxini",
+        "Holocephali",
+        "Elasmobranchii",
+        "Teleostei",
+    ),
     "tax_order": (
-        "Actiniaria Anthoathecata Narcomedusae Trachymedusae Siphonophora Siphonophorae Malacalcyonacea "
-        "Scleralcyonacea Coronatae Cydippida Terebellida Amphipoda Decapoda Euphausiacea Mysida Nautilida Buccinida "
-        "Paxillosida Valvatida Comatulida Isocrinida Aspidodiadematoida Cidaroida Diadematoida Echinothurioida "
-        "Elasipodida Euryalida Chimaeriformes Aulopiformes Lampriformes Ophidiiformes Perciformes Siluriformes "
-        "Stomiiformes Trachichthyiformes"
-    ).split(),
+        "Actiniaria",
+        "Anthoathecata",
+        "Narcomedusae",
+        "Trachymedusae",
+        "Siphonophora",
+        "Siphonophorae",
+        "Malacalcyonacea",
+        "Scleralcyonacea",
+        "Coronatae",
+        "Cydippida",
+        "Terebellida",
+        "Amphipoda",
+        "Decapoda",
+        "Euphausiacea",
+        "Mysida",
+        "Nautilida",
+        "Buccinida",
+        "Paxillosida",
+        "Valvatida",
+        "Comatulida",
+        "Isocrinida",
+        "Aspidodiadematoida",
+        "Cidaroida",
+        "Diadematoida",
+        "Echinothurioida",
+        "Elasipodida",
+        "Euryalida",
+        "Chimaeriformes",
+        "Aulopiformes",
+        "Lampriformes",
+        "Ophidiiformes",
+        "Perciformes",
+        "Siluriformes",
+        "Stomiiformes",
+        "Trachichthyiformes",
+    ),
     "family": (
-        "Stylasteridae Aeginidae Rhopalonematidae Acanthogorgiidae Balticinidae Primnoidae Periphyllidae Acrocirridae "
-        "Eurytheneidae Acanthephyridae Aristeidae Calappidae Crangonidae Eumunididae Geryonidae Homolidae Lithodidae "
-        "Lyreididae Munididae Munidopsidae Nematocarcinidae Nephropidae Oregoniidae Pandalidae Parapaguridae Platymaia "
-        "Scyllaridae Sergestidae Solenoceridae Synaxidae Nautilus Buccinidae Astropectinidae Goniasteridae "
-        "Isselicrinidae Aspidodiadematidae Cidaridae Diadematidae Echinothuriidae Elpidiidae Euryalidae "
-        "Rhinochimaeridae Chimaeridae Aulopidae Lophotidae Ophidiidae Epigonidae Sternoptychidae Stomiidae "
-        "Trachichthyidae Halosauridae Macrouridae"
-    ).split(),
+        "Stylasteridae",
+        "Aeginidae",
+        "Rhopalonematidae",
+        "Acanthogorgiidae",
+        "Balticinidae",
+        "Primnoidae",
+        "Periphyllidae",
+        "Acrocirridae",
+        "Eurytheneidae",
+        "Acanthephyridae",
+        "Aristeidae",
+        "Calappidae",
+        "Crangonidae",
+        "Eumunididae",
+        "Geryonidae",
+        "Homolidae",
+        "Lithodidae",
+        "Lyreididae",
+        "Munididae",
+        "Munidopsidae",
+        "Nematocarcinidae",
+        "Nephropidae",
+        "Oregoniidae",
+        "Pandalidae",
+        "Parapaguridae",
+        "Platymaia",
+        "Scyllaridae",
+        "Sergestidae",
+        "Solenoceridae",
+        "Synaxidae",
+        "Nautilus",
+        "Buccinidae",
+        "Astropectinidae",
+        "Goniasteridae",
+        "Isselicrinidae",
+        "Aspidodiadematidae",
+        "Cidaridae",
+        "Diadematidae",
+        "Echinothuriidae",
+        "Elpidiidae",
+        "Euryalidae",
+        "Rhinochimaeridae",
+        "Chimaeridae",
+        "Aulopidae",
+        "Lophotidae",
+        "Ophidiidae",
+        "Epigonidae",
+        "Sternoptychidae",
+        "Stomiidae",
+        "Trachichthyidae",
+        "Halosauridae",
+        "Macrouridae",
+    ),
 }
 
 # Names left out of the printed inventory.

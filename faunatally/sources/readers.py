@@ -1,85 +1,51 @@
 """Readers for exported sheets, side lists and the clean table.
 
-Types are declared, never inferred: a CSV file is read as text by column name and cast, so further columns and any
-column order are fine. Blank cells and ``NA`` are NULL, and surrounding spaces are trimmed. A number that does not
-parse becomes NULL.
+Types are declared, never inferred. A CSV file is read as text by the names in its own header and cast, so further columns
+and any column order are fine, also among the files of one folder. Blank cells and ``NA`` are NULL there, and surrounding
+white space is trimmed. A cell that is not of its column's type is NULL in the rows and a row of the scan's audit.
 """
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Callable, Mapping
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faunatally.schema import (
+    ANNOTATION_DEPTH,
     ANNOTATION_HEADINGS,
     ANNOTATIONS,
-    CLEAN,
     FIELD_LOG,
     FIELD_LOG_HEADINGS,
     FREQ_EXCLUSIONS,
     MANUAL_EXCLUSIONS,
 )
+from faunatally.sources.folder import Scan, scan_columnar, scan_csv
+from faunatally.sources.versions import read_version
 
-NULL_TEXT = "NA"
 
-
-def _typed(df: DataFrame, schema: T.StructType, headings: Mapping[str, str]) -> DataFrame:
-    renamed = df.withColumnsRenamed(dict(headings))
-    missing = [f.name for f in schema.fields if f.name not in renamed.columns]
-    if missing:
-        raise ValueError(f"no such column: {', '.join(missing)}")
-    columns = []
-    for field in schema.fields:
-        cell = F.col(field.name)
-        if isinstance(renamed.schema[field.name].dataType, T.StringType):
-            cell = F.trim(cell)
-            cell = F.when(~cell.isin("", NULL_TEXT), cell)
-        if not isinstance(field.dataType, T.StringType):
-            cell = cell.try_cast(field.dataType)
-        columns.append(cell.alias(field.name))
-    return renamed.select(*columns)
-
-
-def _csv_options(spark: SparkSession):
-    return spark.read.option("header", True).option("inferSchema", False)
+Found = TypeVar("Found", DataFrame, Scan)
 
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, headings: Mapping[str, str] | None = None
 ) -> DataFrame:
     """CSV with a header line, matched to the schema by column name."""
-    return _typed(_csv_options(spark).csv(path), schema, headings or {})
+    return scan_csv(spark, path, schema, headings).rows
 
 
 def read_banner_csv(
     spark: SparkSession, path: str, schema: T.StructType, headings: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """CSV whose files start with a banner line and have their header on the second.
+    """CSV whose files start with a banner line and have their header on the second."""
+    return scan_csv(spark, path, schema, headings, banner=True).rows
 
-    Spark takes the first line of each file for its header and drops it, which removes the banner and keeps large files
-    splittable. The real header then comes through as a row that repeats the column names, and is filtered out. The
-    names themselves are read from the first two lines of one file.
-    """
-    one_file = spark.read.text(path).select("_metadata.file_path").first()
-    if one_file is None:
-        raise ValueError(f"no lines in {path}")
-    header = [row.value for row in spark.read.text(one_file.file_path).take(2)][-1]
-    names = next(csv.reader([header]))
-    as_text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = _csv_options(spark).option("enforceSchema", True).schema(as_text).csv(path)
-    is_header = F.lit(True)
-    for name in names:
-        is_header = is_header & F.col(f"`{name}`").eqNullSafe(F.lit(name) if name else F.lit(None))
-    return _typed(rows.where(~is_header), schema, headings or {})
-
-
-def optional(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """The table, or None when its file does not exist. Other read errors are raised."""
+
+def optional(read: Callable[[], Found]) -> Found | None:
+    """What is read, or None when its file does not exist. Other read errors are raised."""
     try:
         return read()
     except AnalysisException as error:
@@ -88,40 +54,57 @@ def optional(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-def with_row_key(df: DataFrame) -> DataFrame:
-    """Number the rows in reading order, for tables that come without ``row_key``.
+def scan_annotations(
+    spark: SparkSession, path: str, file_format: str = "parquet", *, quoted_newlines: bool = True
+) -> Scan:
+    """Annotation sheet, exported as Parquet, CSV or ORC, with all its columns but its own depth.
 
-    Apply it to a table as read, before any join or aggregate: only there is the numbering the same on every run.
+    Without a column ``row_key`` the rows are numbered as they stand in the files, which are taken in order of path.
     """
-    return df.withColumn("row_key", F.monotonically_increasing_id())
+    numbered = T.StructType([f for f in ANNOTATIONS.fields if f.name != "row_key"])
 
+    def scan(schema: T.StructType) -> Scan:
+        if file_format == "csv":
+            return scan_csv(spark, path, schema, ANNOTATION_HEADINGS, quoted_newlines=quoted_newlines, others=True)
+        return scan_columnar(spark, path, file_format, schema, ANNOTATION_HEADINGS, others=True)
 
-def _scan(spark: SparkSession, path: str, file_format: str) -> DataFrame:
-    return _csv_options(spark).csv(path) if file_format == "csv" else spark.read.format(file_format).load(path)
+    found = scan(numbered)
+    found = scan(ANNOTATIONS) if "row_key" in found.rows.columns else found.numbered("row_key")
+    return found.without(ANNOTATION_DEPTH).first(*ANNOTATIONS.names)
 
 
 def read_annotations(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """Annotation sheet, exported as Parquet, CSV or ORC. The sheet's own depth column is not read."""
-    rows = _scan(spark, path, file_format)
-    if "row_key" not in rows.columns:
-        rows = with_row_key(rows)
-    return _typed(rows, ANNOTATIONS, ANNOTATION_HEADINGS)
+    """The rows of ``scan_annotations``."""
+    return scan_annotations(spark, path, file_format).rows
 
 
-def read_field_log(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
+def scan_field_log(spark: SparkSession, path: str, file_format: str = "csv") -> Scan:
     """Field log. As CSV it has the banner line of the sheet; other formats carry the headings as column names."""
     if file_format == "csv":
-        return read_banner_csv(spark, path, FIELD_LOG, FIELD_LOG_HEADINGS)
-    return _typed(_scan(spark, path, file_format), FIELD_LOG, FIELD_LOG_HEADINGS)
+        return scan_csv(spark, path, FIELD_LOG, FIELD_LOG_HEADINGS, banner=True)
+    return scan_columnar(spark, path, file_format, FIELD_LOG, FIELD_LOG_HEADINGS)
+
+
+def read_field_log(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
+    return scan_field_log(spark, path, file_format).rows
+
+
+def scan_manual_exclusions(spark: SparkSession, path: str) -> Scan | None:
+    return optional(lambda: scan_csv(spark, path, MANUAL_EXCLUSIONS))
 
 
 def read_manual_exclusions(spark: SparkSession, path: str) -> DataFrame | None:
     return optional(lambda: read_csv(spark, path, MANUAL_EXCLUSIONS))
 
 
+def scan_freq_exclusions(spark: SparkSession, path: str) -> Scan | None:
+    return optional(lambda: scan_csv(spark, path, FREQ_EXCLUSIONS))
+
+
 def read_freq_exclusions(spark: SparkSession, path: str) -> DataFrame | None:
     return optional(lambda: read_csv(spark, path, FREQ_EXCLUSIONS))
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CLEAN).parquet(path)
+    """The clean table as last written, with all its columns."""
+    return read_version(spark, path)

@@ -1,0 +1,141 @@
+"""Folder scans: headers by file, typed cells and the audit of the others, row numbers that follow the files."""
+
+import pytest
+from pyspark.sql import types as T
+
+from faunatally.schema import ANNOTATIONS, FIELD_LOG, FIELD_LOG_HEADINGS
+from faunatally.sources import header_index, read_annotations, scan_annotations, scan_columnar, scan_csv
+from tests.rows import as_set, tuples
+
+COUNTS = T.StructType([T.StructField("name", T.StringType()), T.StructField("n", T.IntegerType())])
+
+
+def write(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def rejected(scan):
+    return {(r.file.rsplit("/", 1)[1], r.place, r["column"], r.raw) for r in scan.rejected.collect()}
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    write(tmp_path / "a.csv", "name,n\nCus dus,1\n")
+    write(tmp_path / "b.csv", "other,n,name\nx,2,Eus fus\n")
+    write(tmp_path / "c.csv", '﻿"n"," name "\n3,"Gus, hus"\n')
+    write(tmp_path / "d.csv", "")
+    scan = scan_csv(spark, str(tmp_path), COUNTS)
+    assert as_set(scan.rows) == {("Cus dus", 1), ("Eus fus", 2), ("Gus, hus", 3)}
+    assert rejected(scan) == set()
+    assert sorted(map(len, header_index(spark, str(tmp_path)).values())) == [1, 1, 1]
+    others = scan_csv(spark, str(tmp_path), COUNTS, others=True)
+    assert as_set(others.rows, "name", "other") == {("Cus dus", None), ("Eus fus", "x"), ("Gus, hus", None)}
+
+
+def test_the_file_that_lacks_a_column_is_named(spark, tmp_path):
+    write(tmp_path / "a.csv", "name,n\nx,1\n")
+    write(tmp_path / "b.csv", "name,m\ny,2\n")
+    with pytest.raises(ValueError, match="no such column: n in .*b.csv"):
+        scan_csv(spark, str(tmp_path), COUNTS)
+    with pytest.raises(ValueError, match="no header"):
+        scan_csv(spark, write(tmp_path / "none.csv", ""), COUNTS)
+
+
+def test_whole_numbers_in_any_form_and_the_cells_that_are_none(spark, tmp_path):
+    cells = ["3", "3.0", " 4 ", "5e2", "-0", "2147483647", "NA", "", "3.5", "many", "2147483648", "1e99", "NaN"]
+    path = write(tmp_path / "a.csv", "name,n\n" + "".join(f"r{k},{c}\n" for k, c in enumerate(cells)))
+    scan = scan_csv(spark, path, COUNTS)
+    assert dict(tuples(scan.rows)) == {
+        **{f"r{k}": None for k in range(len(cells))},
+        **{"r0": 3, "r1": 3, "r2": 4, "r3": 500, "r4": 0, "r5": 2147483647},
+    }
+    assert rejected(scan) == {("a.csv", k, "n", cells[k]) for k in range(8, 13)}
+
+
+def test_places_of_rejected_cells_do_not_depend_on_splits(spark, tmp_path):
+    for f in range(3):
+        write(tmp_path / f"{f}.csv", "name,n\n" + "".join(f"{'x' * 50},{k if k % 100 else 'bad'}\n" for k in range(1000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        found = rejected(scan_csv(spark, str(tmp_path), COUNTS, quoted_newlines=False))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {(f"{f}.csv", k, "n", "bad") for f in range(3) for k in range(0, 1000, 100)}
+
+
+def test_quoted_line_breaks_are_whole(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'name,n\n"two\nlines",1\n"a ""quoted"" word, and\n\nmore",2\n')
+    assert as_set(scan_csv(spark, path, COUNTS).rows) == {("two\nlines", 1), ('a "quoted" word, and\n\nmore', 2)}
+
+
+def test_records_of_another_width_are_reported(spark, tmp_path):
+    scan = scan_csv(spark, write(tmp_path / "a.csv", "name,n\nx,1\ny,2,3\nz\n"), COUNTS)
+    assert as_set(scan.rows) == {("x", 1), ("y", 2), ("z", None)}
+    assert {(place, column) for _, place, column, _ in rejected(scan)} == {(1, "(record)"), (2, "(record)")}
+
+
+def test_banner_files_with_headers_of_their_own(spark, tmp_path):
+    write(tmp_path / "a.csv", 'Group A,,,\nDeployment,Depth (m),Location,Substrate (Hard/Soft)\nd1,5,"in\nout",Hard\n')
+    write(tmp_path / "b.csv", '"Group\nB",,,\nLocation,,Substrate (Hard/Soft),Deployment,Depth (m)\nL,x,Soft,d2,deep\n')
+    scan = scan_csv(spark, str(tmp_path), FIELD_LOG, FIELD_LOG_HEADINGS, banner=True)
+    assert as_set(scan.rows) == {("d1", 5.0, "in\nout", "Hard"), ("d2", None, "L", "Soft")}
+    assert {(f, c, raw) for f, _, c, raw in rejected(scan)} == {("b.csv", "depth_m", "deep")}
+
+
+def test_repeated_and_unnamed_headings(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "name,n,note,note,\nx,1,a,b,c\n")
+    rows = scan_csv(spark, path, COUNTS, others=True).rows
+    assert rows.columns == ["name", "n", "note", "note_2", "_c4"] and tuples(rows) == [("x", 1, "a", "b", "c")]
+
+
+HEADER = "deployment,depth(m),phylum,class,order,family,scientificName,taxonRank,tentativeId,attracted,individualCount"
+
+
+def six_files(folder):
+    """Files of rising size, so that Spark packs them in another order than that of their names."""
+    at = 0
+    for f in range(6):
+        lines = [f"d,1,,,,,A,,t{at + k},,{'9' * (k % 3)}" for k in range(10 * 3**f)]
+        at += len(lines)
+        write(folder / f"part{f}.csv", "\n".join([HEADER, *lines]) + "\n")
+    return at
+
+
+@pytest.mark.parametrize("split", ["128m", "3000", "500"])
+@pytest.mark.parametrize("quoted", [True, False])
+def test_row_keys_follow_the_files(spark, tmp_path, split, quoted):
+    total = six_files(tmp_path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = scan_annotations(spark, str(tmp_path), "csv", quoted_newlines=quoted).rows
+        got = tuples(rows.orderBy("row_key"), "row_key", "tentativeId")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(k, f"t{k}") for k in range(total)]
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "orc"])
+def test_row_keys_of_columnar_files(spark, tmp_path, file_format):
+    six_files(tmp_path)
+    rows = read_annotations(spark, str(tmp_path), "csv").withColumnRenamed("tax_order", "order")
+    out = tmp_path / "columnar"
+    ordered = rows.orderBy("row_key").drop("row_key")
+    ordered.coalesce(1).write.option("maxRecordsPerFile", 700).format(file_format).save(str(out))
+    got = tuples(read_annotations(spark, str(out), file_format).orderBy("row_key"), "row_key", "tentativeId")
+    assert got == [(k, f"t{k}") for k in range(rows.count())]
+
+
+def test_columnar_cells(spark, tmp_path):
+    kind = T.StructType([T.StructField("n", T.DoubleType()), T.StructField("name", T.StringType())])
+    rows = [(3.0, "NA"), (3.5, " x "), (None, ""), (1e12, None), (float("nan"), "y")]
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(str(tmp_path / "p"))
+    scan = scan_columnar(spark, str(tmp_path / "p"), "parquet", COUNTS)
+    assert sorted(tuples(scan.rows), key=str) == [("NA", 3), ("x", None), ("y", None), (None, None), (None, None)]
+    assert {(place, column, raw) for _, place, column, raw in rejected(scan)} == {(1, "n", "3.5"), (3, "n", "1.0E12"), (4, "n", "NaN")}
+
+
+def test_annotations_keep_their_other_columns(spark, tmp_path):
+    path = write(tmp_path / "a.csv", f"{HEADER},Notes (free),my.col\nd,5,,,,,A,,,,3.0,seen twice,z\n")
+    rows = read_annotations(spark, path, "csv")
+    assert rows.columns == [*ANNOTATIONS.names, "Notes (free)", "my.col"]
+    assert tuples(rows, "individualCount", "Notes (free)", "`my.col`") == [(3, "seen twice", "z")]

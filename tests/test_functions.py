@@ -54,6 +54,46 @@ def test_number_text(spark):
     assert values(spark, "x double", rows, number_text(F.col("x"))) == ["1200", "1200.5", "0", None]
 
 
+def test_number_text_is_plain_and_short(spark):
+    texts = {
+        12345678.5: "12345678.5",
+        0.0001: "0.0001",
+        0.1 + 0.2: "0.3",
+        -0.1 - 0.2: "-0.3",
+        1e-7: "0.0000001",
+        123456.789012345: "123456.789012345",
+        0.1: "0.1",
+        100.0: "100",
+        1e6: "1000000",
+        99.99999999999999: "100",
+        999999999999999.0: "999999999999999",
+        1e15: "1000000000000000",
+        1e22: "10000000000000000000000",
+        2.5e-5: "0.000025",
+        -0.0: "0",
+        1 / 3: "0.333333333333333",
+        float("nan"): None,
+        float("inf"): None,
+    }
+    assert values(spark, "x double", [(x,) for x in texts], number_text(F.col("x"))) == list(texts.values())
+
+
+def test_number_text_of_other_numbers(spark):
+    assert values(spark, "x bigint", [(5,), (None,), (-12,)], number_text(F.col("x"))) == ["5", None, "-12"]
+
+
+def test_number_text_reads_back(spark):
+    import random
+
+    draw = random.Random(3)
+    numbers = [draw.uniform(-1, 1) * 10 ** draw.randint(-6, 12) for _ in range(2000)]
+    texts = values(spark, "x double", [(x,) for x in numbers], number_text(F.col("x")))
+    for x, text in zip(numbers, texts):
+        assert "e" not in text.lower() and abs(float(text) - x) <= abs(x) * 1e-14
+        assert len(text.replace("-", "").replace(".", "").lstrip("0")) <= 15
+        assert not ("." in text and text.endswith("0"))
+
+
 def test_range_text(spark):
     rows = [(5.0, 5.0), (5.0, 7.5), (None, None)]
     assert values(spark, "a double, b double", rows, range_text(F.col("a"), F.col("b"))) == ["5", "5 - 7.5", None]

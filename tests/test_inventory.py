@@ -34,6 +34,48 @@ def test_tentative_ids_once_each_in_first_seen_order(spark):
     }
 
 
+def test_tentative_listing_and_pieces(spark):
+    rows = clean(
+        spark,
+        *[taxon("N", family="Fam", tentativeId=t, row_key=k) for t, k in (("b", 3), ("a", 1), ("b", 0), ("a", 5), ("c", 1))],
+        taxon("M", tentativeId="x y", row_key=4),
+        taxon("M", row_key=4),
+    )
+    listing = inv.tentative_listing(rows)
+    assert as_set(listing, "scientificName", "marked", "first_seen", "place") == {
+        ("N", "*b* sp.", 0, 0),
+        ("N", "*a* sp.", 1, 1),
+        ("N", "*c* sp.", 1, 2),
+        ("M", "*x y*", 4, 0),
+    }
+    assert as_set(inv.tentative_pieces(listing, size=2), "scientificName", "piece", "text") == {
+        ("N", 0, "*b* sp., *a* sp."),
+        ("N", 1, "*c* sp."),
+        ("M", 0, "*x y*"),
+    }
+
+
+def test_a_million_identifications_of_one_taxon(spark):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(1_000_000).select(
+            *[F.lit(c).alias(c) for c in ("phylum", "class", "tax_order", "family", "scientificName")],
+            F.concat(F.lit("T "), "id").alias("tentativeId"),
+            (1_000_000 - F.col("id")).alias("row_key"),
+        )
+        listing = inv.tentative_listing(rows)
+        pieces = inv.tentative_pieces(listing)
+        spread = listing.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("count")).first()
+        assert pieces.agg(F.count("piece"), F.max(F.length("text"))).first()[0] == 1000
+        assert pieces.where("piece = 0").first()["text"].startswith("*T 999999*, *T 999998*")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # no task holds more than its share of the one taxon
+    assert spread[1] >= 4 and spread[0] <= 400_000
+
+
 def build(spark, *rows, exclude=(), keys=LISTS):
     df = clean(spark, *rows)
     effort = spark.sql("SELECT bigint(16) AS n")

@@ -41,8 +41,9 @@ def test_no_nested_loops_cross_joins_or_python(small, name):
 def test_small_side_tables_leave_the_annotations_in_place(small):
     text = plan(small.clean)
     assert "SortMergeJoin" not in text
-    # the one shuffle makes the effort list distinct
-    assert text.count("Exchange hashpartitioning") == 1
+    # the two shuffles make the exclusion list and the effort list distinct
+    assert text.count("Exchange hashpartitioning") == 2
+    assert not re.search(r"Exchange hashpartitioning\(.*individualCount", text)
 
 
 def test_large_side_tables_are_joined_by_shuffle(large, no_automatic_broadcast):
@@ -68,6 +69,42 @@ def test_refinement_uses_no_window(small):
     assert not re.search(r"\bWindow\b", plan(QUERIES["refine_taxa"](small)))
 
 
+def test_refinement_shuffles_twice(small, monkeypatch):
+    from faunatally.operators import taxonomy
+
+    written = []
+    keep = taxonomy.materialise
+    monkeypatch.setattr(taxonomy, "materialise", lambda df: written.append(plan(df)) or keep(df))
+    sightings = keep(QUERIES["compact_sightings"](small))
+    last = plan(taxonomy.refine_taxa(sightings))
+    # distinct paths, and their sizes by grouping sets; the sizes are looked up where the paths stand
+    assert [text.count("Exchange hashpartitioning") for text in (*written, last)] == [1, 1, 0]
+    assert "Expand" in written[1] and last.count("BroadcastHashJoin") == 5
+
+
+def test_frequencies_read_the_clean_table_once(small, monkeypatch):
+    from faunatally.catalog import queries
+
+    written = []
+    keep = queries.materialise
+    monkeypatch.setattr(queries, "materialise", lambda df: written.append(plan(df)) or keep(df))
+    last = plan(QUERIES["frequencies_from_sets"](small))
+    assert sum("lineitem.parquet" in text for text in (*written, last)) == 1
+
+
+def test_figures_are_three_aggregates_over_small_tables(small, spark):
+    from faunatally.catalog.queries import REPORT_NAMES
+    from faunatally.operators.effort import deploy_meta
+    from faunatally.operators.taxonomy import refine_taxa
+    from faunatally.plans.report import figures, paths_with_depths
+    from faunatally.session import materialise
+
+    sightings = materialise(QUERIES["compact_sightings"](small))
+    meta, paths = materialise(deploy_meta(sightings)), materialise(paths_with_depths(sightings))
+    text = plan(figures(meta, paths, refine_taxa(paths), REPORT_NAMES))
+    assert "lineitem.parquet" not in text and text.count("Union") == 1
+
+
 def test_scans_read_only_what_is_needed(small):
     text = plan(QUERIES["distinct_phyla"](small))
     schemas = [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)]

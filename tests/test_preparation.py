@@ -1,6 +1,6 @@
 import pytest
 
-from faunatally.operators.keyed_join import repeated_keys
+from faunatally.operators.keyed_join import repeated_keys, unique_keys
 from faunatally.operators.preparation import (
     apply_exclusions,
     deployment_facts,
@@ -8,6 +8,7 @@ from faunatally.operators.preparation import (
     effort_audit,
     exclusion_audit,
     flag_effort,
+    mark_exclusions,
     merge_deployment_facts,
     merge_field_log,
 )
@@ -69,6 +70,46 @@ def test_a_deployment_logged_twice_repeats_its_rows(spark, annotations, field_lo
     assert tuples(repeated_keys(twice, ["deployment"])) == [("d2", 2)]
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_a_repeated_log_key_stops_the_plan(annotations, field_log, small):
+    twice = field_log.union(field_log.where("deployment is null"))
+    assert merge_field_log(annotations, twice, small=small).count() == 7
+    with pytest.raises(Exception, match="field log: 2 rows for deployment = NULL"):
+        merge_field_log(annotations, twice, small=small, repeats="raise").collect()
+    with pytest.raises(Exception, match="2 rows for deployment"):
+        merge_deployment_facts(annotations, deployment_facts(twice, None, repeats="raise"), small=small).collect()
+    once = merge_field_log(annotations, field_log, small=small, repeats="raise")
+    assert as_set(once) == as_set(merge_field_log(annotations, field_log, small=small))
+    with pytest.raises(ValueError, match="repeats must be"):
+        merge_field_log(annotations, field_log, repeats="first")
+
+
+def test_unique_keys_keeps_the_table_as_it_is(spark):
+    df = spark.createDataFrame([(1, None, "a"), (None, 2.0, None)], "k int, v double, t string")
+    assert unique_keys(df, ["k"], "t").columns == df.columns and as_set(unique_keys(df, ["k"], "t")) == as_set(df)
+    assert as_set(unique_keys(df.select("k"), ["k"], "t")) == {(1,), (None,)}
+
+
+def test_other_columns_of_the_annotations_stay(spark, field_log):
+    own = spark.createDataFrame([("d1", "mine", 4, "x")], "deployment string, location string, n int, `Notes (free)` string")
+    merged = merge_field_log(own, field_log)
+    assert merged.columns == ["deployment", "location_annotated", "n", "Notes (free)", "depth_m", "location", "substrate_type"]
+    assert tuples(merged) == [("d1", "mine", 4, "x", 10.0, "x", "Hard")]
+
+
+@BOTH
+def test_marked_rows_are_those_that_exclusion_removes(annotations, manual, small):
+    marked = mark_exclusions(annotations, manual, small=small)
+    assert as_set(marked.where("excluded"), "row_key") == {(1,), (3,), (4,)}
+    assert mark_exclusions(annotations, None).where("excluded").count() == 0
+
+
+def test_excluded_rows_are_counted_after_the_merge(annotations, field_log, manual):
+    twice = field_log.union(field_log.where("deployment = 'd1'"))
+    merged = merge_field_log(annotations, twice)
+    assert tuples(exclusion_audit(merged, manual)) == [(8, 4, 4)]
+
+
 @BOTH
 def test_exclusions_match_null_keys(annotations, manual, small):
     assert as_set(apply_exclusions(annotations, manual, small=small), "row_key") == {(0,), (2,), (5,)}

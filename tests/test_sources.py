@@ -16,7 +16,6 @@ from faunatally.sources import (
     write_clean,
     write_results,
 )
-from faunatally.sources.readers import with_row_key
 from tests.rows import as_set, clean, tuples
 
 
@@ -113,11 +112,6 @@ def test_annotations_from_columnar_files(spark, tmp_path, file_format):
     assert as_set(read_annotations(spark, path, file_format)) == as_set(source)
 
 
-def test_row_key_numbers_rows_in_reading_order(spark):
-    keys = [r.row_key for r in with_row_key(spark.range(100, numPartitions=5)).orderBy("id").collect()]
-    assert keys == sorted(set(keys))
-
-
 def test_clean_table_round_trip_replaces_earlier_output(spark, tmp_path):
     path = str(tmp_path / "deep" / "er" / "clean")
     write_clean(clean(spark, {"deployment": "old"}), path)
@@ -155,6 +149,29 @@ def test_prepare_from_files(spark, tmp_path):
     assert read_clean(spark, paths["clean_path"]).where("valid_for_freq").count() == 4
 
 
+def test_prepare_with_a_deployment_logged_twice(spark, tmp_path):
+    paths = {
+        "annotations_path": write(tmp_path / "a.csv", *ANNOTATION_LINES, "d1,8,,,,,Cus,,,,2.5"),
+        "field_log_path": write(tmp_path / "log.csv", *FIELD_LOG_LINES, ",d1,1300,Reef,Hard"),
+        "clean_path": str(tmp_path / "clean"),
+        "manual_exclusions_path": write(tmp_path / "m.csv", "deployment,scientificName", "d1,Cus", "d1,Cus"),
+        "annotations_format": "csv",
+    }
+    with pytest.raises(Exception, match="field log: 2 rows for deployment = d1"):
+        prepare(spark, repeats="raise", **paths)
+    with pytest.raises(FileNotFoundError):
+        read_clean(spark, paths["clean_path"])
+    with pytest.warns(UserWarning, match=r"annotations will be repeated: d1 \(2 times\)"):
+        audit = prepare(spark, **paths)
+    # one annotation of a deployment logged twice is two records, and both go
+    assert tuples(audit["exclusions"]) == [(8, 6, 2)]
+    assert as_set(audit["rejected_cells"], "table", "place", "column", "raw") == {
+        ("annotations", 4, "individualCount", "2.5"),
+        ("field_log", 2, "depth_m", "not measured"),
+    }
+    assert read_clean(spark, paths["clean_path"]).count() == 6
+
+
 def test_jobs_from_the_command_line(spark, tmp_path):
     clean_path, audit_path, out = (str(tmp_path / d) for d in ("clean", "audit", "out"))
     main(
