@@ -388,6 +388,12 @@ FROM clean GROUP BY ALL""",
     "depth_ranges": PREFIX + RANGES + "\nSELECT * FROM ranges",
     "depth_ranges_fine": PREFIX + RANGES_FINE + "\nSELECT * FROM ranges",
     "attracted_metrics": PREFIX + META + _attracted() + "\nSELECT * FROM metrics",
+    "taxon_measures": PREFIX
+    + META
+    + RANGES
+    + _attracted()
+    + f"""
+SELECT r.*, m.freq_occ, m.max_n FROM ranges r LEFT JOIN metrics m ON {_SAME_TAXON.replace("j.", "m.")}""",
     "attracted_metrics_with_null": PREFIX
     + META
     + _attracted("max(CASE WHEN valid_for_freq AND deployment IS NULL THEN 1 ELSE 0 END)")

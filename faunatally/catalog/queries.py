@@ -81,8 +81,8 @@ def _frequencies(t: Tables) -> DataFrame:
 
 def _inventory(t: Tables, clean: DataFrame | None = None) -> DataFrame:
     return inv.taxon_inventory(
-        occ.depth_ranges(t.clean if clean is None else clean),
-        occ.attracted_metrics(t.clean, _effort(t)),
+        occ.taxon_measures(t.clean if clean is None else clean, _effort(t)),
+        None,
         inv.tentative_ids(t.clean),
         t.keys,
         DISPLAY_EXCLUSIONS,
@@ -143,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "compact_sightings": lambda t: occ.compact_sightings(t.clean),
     "depth_ranges": lambda t: occ.depth_ranges(t.clean),
     "attracted_metrics": lambda t: occ.attracted_metrics(t.clean, _effort(t)),
+    "taxon_measures": lambda t: occ.taxon_measures(t.clean, _effort(t)),
     "attracted_metrics_with_null": lambda t: occ.attracted_metrics(t.clean, _effort(t), count_null=True),
     "depth_ranges_fine": lambda t: occ.depth_ranges(_fine(t)),
     "tentative_listing": lambda t: inv.tentative_listing(t.clean),

@@ -89,7 +89,7 @@ def with_positions(df: DataFrame, keys: DataFrame, levels: Sequence[str] = RANKS
 
 def taxon_inventory(
     ranges: DataFrame,
-    metrics: DataFrame,
+    metrics: DataFrame | None,
     tentative: DataFrame,
     keys: DataFrame,
     exclude: Iterable[str] = (),
@@ -98,9 +98,13 @@ def taxon_inventory(
 
     The phylum follows its list strictly: an unlisted phylum is shown blank and sorted last. The lower levels follow
     theirs leniently: unlisted names keep their text and come after the listed ones. Missing values become blank.
-    ``taxon`` keeps the plain name and the ``_pos`` columns keep the order.
+    ``taxon`` keeps the plain name and the ``_pos`` columns keep the order. Without ``metrics`` the first table has the
+    frequency and MaxN itself, as ``occurrence.taxon_measures`` gives them.
     """
-    joined = null_safe_join(ranges.select(*TAXON, "depth_range"), metrics, TAXON, "left")
+    if metrics is None:
+        joined = ranges.select(*TAXON, "depth_range", "freq_occ", "max_n")
+    else:
+        joined = null_safe_join(ranges.select(*TAXON, "depth_range"), metrics, TAXON, "left")
     joined = null_safe_join(joined, tentative, TAXON, "left")
     placed = with_positions(joined.where(not_listed_in(F.col("scientificName"), exclude)), keys)
 

@@ -73,6 +73,43 @@ def attracted_metrics(
     )
 
 
+def taxon_measures(
+    df: DataFrame,
+    effort: DataFrame,
+    by: Sequence[str] = TAXON,
+    *,
+    unit: str = "deployment",
+    count_null: bool = False,
+) -> DataFrame:
+    """``depth_ranges`` and ``attracted_metrics`` of every taxon from one fold per taxon and deployment.
+
+    A taxon that never came to the camera has NULL for the frequency and MaxN.
+    """
+    came = F.coalesce(F.col("attracted") == ATTRACTED, F.lit(False))
+    low, high = ("min_depth", "max_depth") if is_sets(df) else ("depth_m", "depth_m")
+    found = fold_units(
+        df,
+        by,
+        unit,
+        {"n_units": came & F.col("valid_for_freq")},
+        {
+            "came": ("any", came),
+            "count": ("max", F.when(came, F.col("individualCount"))),
+            "min_depth": ("min", F.col(low)),
+            "max_depth": ("max", F.col(high)),
+        },
+    )
+    share = number_text(percent(number_of_units("n_units", count_null), effort.scalar(), 0))
+    return found.select(
+        *by,
+        "min_depth",
+        "max_depth",
+        range_text(F.col("min_depth"), F.col("max_depth")).alias("depth_range"),
+        F.when(F.col("came"), share).alias("freq_occ"),
+        F.col("count").cast("string").alias("max_n"),
+    )
+
+
 def frequency_of_occurrence(
     df: DataFrame,
     by: str,

@@ -85,13 +85,13 @@ def report(
     *,
     count_null: bool = True,
     share: Callable[[DataFrame], DataFrame] = lambda df: df,
-    sets: bool = True,
+    sets: bool = False,
 ) -> dict[str, DataFrame]:
     """All report tables by name.
 
     ``share`` is applied to the tables that many results use; pass ``session.materialise`` to compute each once, so that
     the clean table is read twice: for the sightings and for the tentative identifications. With ``sets`` frequencies come
-    from presence sets, else from the sightings. The report counts an unknown value as one more distinct value;
+    from presence sets, which pays where many deployments share their taxa, else from the sightings. The report counts an unknown value as one more distinct value;
     ``count_null=False`` leaves it out.
     """
     sightings = share(occ.compact_sightings(clean))
@@ -110,8 +110,8 @@ def report(
     zone_groups = share(zon.zone_groups(zoned, count_null=count_null))
     overlap = share(thr.threshold_overlap(seen, threshold=names.threshold, count_null=count_null))
     inventory = inv.taxon_inventory(
-        occ.depth_ranges(seen),
-        occ.attracted_metrics(seen, effort, count_null=count_null),
+        occ.taxon_measures(seen, effort, count_null=count_null),
+        None,
         inv.tentative_ids(clean),
         keys,
         names.inventory_exclusions,

@@ -47,7 +47,7 @@ def test_metric_rows(spark):
 
 
 def test_report_on_shared_tables_equals_report_on_rows(bound, results):
-    plain = report(bound.clean, bound.keys, NAMES)
+    plain = report(bound.clean, bound.keys, NAMES, sets=True)
     assert set(plain) == set(results)
     for name in ("inventory", "zone_taxa_invertebrates", "shared_taxa", "redundancy_audit"):
         assert sorted(map(repr, tuples(results[name]))) == sorted(map(repr, tuples(plain[name])))
