@@ -160,3 +160,27 @@ def article_text(page):
     parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", p)).split()) for p in re.split("</?(?:p|h1)>", article)]
     text = "\n\n".join(p for p in parts if p)
     return text, len(text)
+
+
+def line_shingles(line, size=8):
+    return frozenset(line[k : k + size] for k in range(len(line) - size + 1)) or frozenset([line])
+
+
+def dedup_lines(rows):
+    """(n_lines, n_removed, text) of (doc_id, text) rows, by a test of every pair of lines; the last rows win no ties."""
+    lines = sorted({line for _, t in rows if t is not None for line in t.split("\n") if line.strip(" \t\r\x0b\x0c")})
+    sets = [line_shingles(line) for line in lines]
+    root = dict(zip(lines, components(len(lines), lambda a, b: similar(sets[a], sets[b]))))
+    places = sorted({(d, t, k) for d, t in rows if t is not None for k, line in enumerate(t.split("\n")) if line in root})
+    first = {}
+    for d, t, k in places:
+        first.setdefault(root[t.split("\n")[k]], (d, t, k))
+    out = []
+    for d, t in rows:
+        if t is None:
+            out.append((0, 0, None))
+            continue
+        split = t.split("\n")
+        kept = [line for k, line in enumerate(split) if line not in root or first[root[line]] == (d, t, k)]
+        out.append((len(split), len(split) - len(kept), "\n".join(kept)))
+    return out, lines, root

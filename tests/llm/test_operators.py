@@ -107,16 +107,78 @@ def test_difference_covers():
         assert {(a - b) % v for a in cover for b in cover} == set(range(v)) and cover.max() < v
 
 
+def edited_lines(seed, families=60):
+    """Lines in families of edited copies, with URLs, unspaced and short lines among them."""
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(2, 9)))
+    lines = []
+    for k in range(families):
+        line = " ".join(word() for _ in range(draw.randint(2, 25)))
+        if k % 5 == 0:
+            line = line.replace(" ", "")
+        if k % 7 == 0:
+            line = f"https://{word()}.example/{word()}?{word()}={word()}"
+        lines.append(line)
+        for _ in range(draw.randint(0, 5)):
+            at = draw.randrange(len(line))
+            line = line[:at] + draw.choice(["", "x", "é"]) + line[at + draw.randint(0, 2) :]
+            lines.append(line)
+    return [*lines, "a", "b", "ab", "same", "same", "x" * 50, "x" * 60, "漢字" * 9, "漢字" * 8 + "語"]
+
+
 def test_line_dedup(spark, nothing):
-    line = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda sigma omega"
-    texts = [f"{line}\n\nother", f"start\n{line}", line.replace("omega", "omegas"), None, "", "\n \n"]
-    got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in got.collect()} == {
-        0: (3, 0, texts[0]), 1: (2, 1, "start"), 2: (1, 1, ""), 3: (0, 0, None), 4: (1, 0, ""), 5: (3, 0, "\n \n"),
-    }
+    draw = random.Random(8)
+    pool = edited_lines(8)
+    texts = ["\n".join(draw.sample(pool, 12) + draw.choice([[], ["", " \t\r"]])) for _ in range(45)]
+    texts += [None, "", "\n \n", "\t\n\t", *pool[:30]]
+    rows = list(enumerate(texts))
+    want, _, _ = brute.dedup_lines(rows)
+    given = spark.createDataFrame([(d, t, "n", 1, "b") for d, t in rows], "doc_id long, text string, node string, n int, bands string")
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.dedup_lines(given).collect()}
+    assert got == dict(enumerate(want))
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def test_line_dedup_of_lines_that_only_begin_alike(spark):
+    texts = ["https://alpha.example/one", "https://other.org/zwei?x=9", "漢字漢字漢字漢字" + "一二三四五六", "漢字漢字漢字漢字" + "七八九十百千", "\t\n\t"]
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == dict(enumerate(texts))
+
+
+def test_line_dedup_of_repeated_rows_and_null_ids(spark):
+    line = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda sigma omega"
+    rows = [(1, line), (1, line), (None, f"{line}\n{line}"), (0, line.replace("omega", "omegas") + "\nother")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # NULL ids come first; repeated rows lose the same lines
+    assert sorted((r.doc_id or -1, r.n_removed, r.text) for r in got) == [(-1, 1, line), (-1, 1, "other"), (1, 1, ""), (1, 1, "")]
+
+
+def test_line_dedup_of_a_large_bucket_and_a_long_line(spark):
+    draw = random.Random(4)
+    base = "".join(draw.choice("abcdefgh ") for _ in range(200))
+    copies = [base[:k] + "#" + base[k + 1 :] for k in range(150)]
+    long = "".join(draw.choice("abcdefgh ") for _ in range(300_000))
+    rows = [*enumerate(copies), (500, long), (501, long[:1000] + "!" + long[1000:])]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict.fromkeys(range(150), 1), 0: 0, 500: 0, 501: 1}
+
+
+def test_line_dedup_recall(spark):
+    """Pairs just above the threshold: nearly all share a band, and those that do are found."""
+    draw = random.Random(6)
+    rows, pairs = [], 0
+    while pairs < 400:
+        a = "".join(draw.choice("abcdefghijklm ") for _ in range(160)).strip()
+        k = draw.randint(20, 120)
+        b = a[:k] + "".join(draw.choice("nopq") for _ in range(draw.randint(6, 10))) + a[k:]
+        x, y = brute.line_shingles(a), brute.line_shingles(b)
+        if 0.8 <= len(x & y) / len(x | y) <= 0.88:
+            rows += [(2 * pairs, a), (2 * pairs + 1, b)]
+            pairs += 1
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.where("n_removed = 1").count() >= 0.98 * pairs
+
+
 def test_line_dedup_is_native(docs):
     plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
