@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from faunatally.llm.components import components
 from faunatally.llm.wordhash import BETWEEN_SPACES, shingle_set, word_hashes
 from faunatally.llm.stored import stored
+from faunatally.llm.workers import giving_back
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -67,6 +68,7 @@ def _hashed(batch: pd.DataFrame, words: int) -> Iterator[tuple[int, np.ndarray]]
 def _sizes(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n, node) of every row."""
 
+    @giving_back
     def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = [(len(tokens), node) for node, tokens in _hashed(batch, words)]
@@ -80,6 +82,7 @@ def _sizes(docs: DataFrame, words: int) -> DataFrame:
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     """(node, n, tokens) of every row, with the whole set."""
 
+    @giving_back
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = [(node, len(tokens), tokens) for node, tokens in _hashed(batch, words)]
@@ -110,6 +113,7 @@ def _shared_tokens(docs: DataFrame, words: int, percent: int, buckets: int) -> D
     a token once per batch at most, however many texts have it, and holds about 500,000 tokens.
     """
 
+    @giving_back
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = [(node, t[: _prefix(len(t), percent)].copy()) for node, t in _hashed(batch, words) if node]

@@ -33,21 +33,19 @@ def components(n, linked):
     return root
 
 
+def removed_bytes(texts, length):
+    """Places of each text's bytes that a string of the length covers which also starts elsewhere."""
+    data = [(t or "").encode() for t in texts]
+    starts = Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
+    return [
+        {q for p in range(len(d) - length + 1) if starts[d[p : p + length]] > 1 for q in range(p, p + length)} for d in data
+    ]
+
+
 def kept_bytes(texts, length):
     """Bytes of each text that no string of the length covers which also starts elsewhere."""
-    data = [(t or "").encode() for t in texts]
-    starts = {}
-    for d in data:
-        for p in range(len(d) - length + 1):
-            starts[d[p : p + length]] = starts.get(d[p : p + length], 0) + 1
-    out = []
-    for d in data:
-        gone = set()
-        for p in range(len(d) - length + 1):
-            if starts[d[p : p + length]] > 1:
-                gone.update(range(p, p + length))
-        out.append(bytes(b for k, b in enumerate(d) if k not in gone))
-    return out
+    gone = removed_bytes(texts, length)
+    return [bytes(b for k, b in enumerate((t or "").encode()) if k not in g) for t, g in zip(texts, gone)]
 
 
 def greedy_pieces(word, begins, continues):

@@ -1,6 +1,7 @@
 """The text operators against plain versions, with NULLs, empty and long texts, ties, repeats and clashing columns."""
 
 import random
+import zlib
 from hashlib import sha256
 
 import numpy as np
@@ -101,6 +102,23 @@ def test_suffix_dedup(docs, nothing, length):
     assert suffix_dedup.remove_repeats(nothing, length=length).count() == 0
 
 
+def test_suffix_dedup_at_the_length_of_the_query(spark):
+    draw = random.Random(21)
+    part = lambda n: "".join(draw.choice("abcdé ") for _ in range(n))
+    shared = [part(n) for n in (330, 400, 450, 900)]
+    texts = [part(draw.randint(0, 300)) + draw.choice(shared) + part(draw.randint(0, 300)) + draw.choice(shared) for _ in range(30)]
+    texts += [None, "", texts[0], "z" * 399, "y" * 400, "w" * 401, part(5000)]
+    want, removed = [], brute.removed_bytes(texts, 400)
+    for k, (text, kept) in enumerate(zip(texts, brute.kept_bytes(texts, 400))):
+        data = (text or "").encode()
+        gone = removed[k]
+        runs = sum(1 for b in gone if b - 1 not in gone)
+        want.append((k, len(data), len(gone), runs, sha256(kept).hexdigest()))
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found.collect()]
+    assert sorted(got) == want
+
+
 def test_difference_covers():
     for r in range(6):
         v, cover = suffix_dedup.difference_cover(r)
@@ -213,6 +231,11 @@ def test_token_files(spark, docs, nothing, tmp_path):
             assert row.start == at
             at += row.n_tokens
         assert sorted(r.n_tokens for r in got) == lengths
+        sums = [
+            (r.doc_id, zlib.crc32(np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0], dtype="<u4").tobytes()))
+            for r in docs.collect()
+        ]
+        assert sorted(((r.doc_id, r.ids_crc32) for r in got), key=str) == sorted(sums, key=str)
     token_files.write_tokens(nothing, f"{tmp_path}/none", vocabulary())
     assert token_files.read_documents(spark, f"{tmp_path}/none").count() == 0
 
