@@ -216,7 +216,8 @@ def fit(
 
     It is fitted on a bounded sample, ``max_toxic`` and ``max_clean`` labelled ids in hash order, so the driver sees at
     most ``max_terms`` terms and two features of each sampled row. Two thirds of the sample give terms and exception
-    phrases, the rest fit the curve. A term occurs in ``min_documents`` toxic documents and in ``min_share`` of them.
+    phrases, the rest fit the curve. Labels of one class, or without a term that tells them apart, give a lexicon that
+    scores every text 0. A term occurs in ``min_documents`` toxic documents and in ``min_share`` of them.
     """
     marked = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
@@ -240,6 +241,8 @@ def fit(
     )
     best = frequent.orderBy((F.col("toxic") * odds).desc(), F.length("term"), "term").limit(max_terms)
     lexicon = Lexicon({row.term: row.weight for row in best.select("term", odds.alias("weight")).collect()})
+    if not lexicon.terms:
+        return Lexicon()
     harmless = _counted(learn, lambda folded: _phrases(folded, lexicon)).where(
         (F.col("clean") >= min_documents) & (odds <= -1.0)
     )
