@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from faunatally.operators import keyed_join
 from faunatally.operators.keyed_join import (
     fits_broadcast,
     hot_keys,
@@ -44,6 +45,19 @@ def test_split_join_equals_plain_join(skewed, facts, how):
     assert sorted(map(repr, tuples(split))) == sorted(map(repr, tuples(plain)))
 
 
+def test_hot_keys_that_share_a_bucket(skewed, monkeypatch):
+    monkeypatch.setattr(keyed_join, "HASH_BUCKETS", 2)
+    assert dict(tuples(hot_keys(skewed, ["k"], **LOW))) == {"hot": 17, None: 9}
+
+
+def test_keys_are_counted_in_full_buckets_only(spark, capsys):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("k"))
+    hot = hot_keys(rows, ["k"], rows_per_piece=20, max_hot_keys=150)
+    assert tuples(hot) == []
+    hot.explain()
+    assert "LeftSemi" in capsys.readouterr().out
+
+
 def test_split_join_spreads_a_hot_key(spark, skewed, facts):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)

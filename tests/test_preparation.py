@@ -1,5 +1,6 @@
 import pytest
 
+from faunatally.operators import keyed_join
 from faunatally.operators.keyed_join import repeated_keys, unique_keys
 from faunatally.operators.preparation import (
     apply_exclusions,
@@ -170,3 +171,17 @@ def test_drop_columns_rejects_a_missing_name(annotations):
 
 def test_effort_audit_without_list_or_session(spark):
     assert [r.listed_rows for r in effort_audit(None).collect()] == [0]
+
+
+def test_hot_deployments_are_counted_without_applying_the_exclusions(spark, monkeypatch):
+    counted = []
+    count = keyed_join.hot_keys
+    monkeypatch.setattr(keyed_join, "hot_keys", lambda rows, keys, **k: counted.append((rows, keys)) or count(rows, keys, **k))
+    rows = [{"deployment": d, "scientificName": n, "row_key": k} for k, (d, n) in enumerate([("a", "x"), ("a", "y"), (None, "x")])]
+    log = table(spark, FIELD_LOG, [{"deployment": "a", "depth_m": 5.0}, {"depth_m": 7.0}])
+    manual = table(spark, MANUAL_EXCLUSIONS, [{"deployment": "a", "scientificName": "y"}])
+    freq = table(spark, FREQ_EXCLUSIONS, [{"deployment": "a"}])
+    made = clean_table(table(spark, ANNOTATIONS, rows), log, manual, freq, Fits(False, False, False))
+    assert as_set(made, "row_key", "depth_m", "valid_for_freq") == {(0, 5.0, False), (2, 7.0, True)}
+    plans = [r._jdf.queryExecution().optimizedPlan().toString() for r, keys in counted if list(keys) == ["deployment"]]
+    assert len(plans) == 1 and "LeftAnti" not in plans[0]
