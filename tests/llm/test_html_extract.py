@@ -149,3 +149,51 @@ def test_query(spark, folder):
     assert len(got) == len(given)
     for row in got:
         assert (row.url, row.text, row.n_chars) == (given[row.page_id].url, *brute.article_text(given[row.page_id].html))
+
+
+def brute_cover(pages):
+    """content: places of the words that windows at any word cover, by the definition in the module's text."""
+    kept = {p.content: p for p in pages if p.words}.values()
+    out = {}
+    for p in kept:
+        others = [q for q in kept if q.host == p.host]
+        streams = [" ".join(("", *q.words, "")) for q in others]
+        have = lambda s, n: sum(" ".join(("", *p.words[s : s + n], "")) in t for t in streams)  # noqa: E731, B023
+        need = max(he.ARTICLE_PAGES, he.ARTICLE_SHARE * len(others)) if p.article else max(he.LEAST_PAGES, he.SHARE * len(others))
+        covered = set()
+        for s in range(len(p.words) - he.LEAST + 1):
+            if have(s, he.LEAST) >= need:
+                longest = max(m for m in range(he.LEAST, min(he.DEPTH, len(p.words) - s) + 1) if have(s, m) >= he.LEAST_PAGES)
+                covered.update(range(s, s + longest))
+        out[p.content] = covered
+    return out
+
+
+@pytest.mark.parametrize("article, pack_bytes", [(False, 1 << 22), (True, 1 << 22), (False, 8000), (True, 8000)])
+def test_template_runs_begin_at_any_word(spark, monkeypatch, article, pack_bytes):
+    monkeypatch.setattr(he, "PACK_BYTES", pack_bytes)
+    draw = random.Random(7)
+    shared = [words(draw, n) for n in (8, 11, 30)]
+    rows = []
+    for k in range(26):
+        some = [shared[2], *(draw.choice(shared) for _ in range(2))]
+        parts = [f"{words(draw, draw.randint(1, 20))} {t[: draw.randint(55, 400)].rsplit(' ', 1)[0]} {words(draw, 2)}" for t in some]
+        html = "".join(f"<p>{p}</p>" for p in (*parts, f"{words(draw, 3)} {shared[2]}"))
+        rows.append((k, f"http://h{k % 13 // 10}/", f"<article>{html}</article>" if article else html))
+    rows += [(90, rows[1][1], rows[0][2]), (91, rows[0][1] + "copy", rows[0][2]), (92, *rows[0][1:])]
+    named = he._identified(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {}
+    for r in he.template_runs(named).join(named, ["page", "check"]).select("url", "html", "start", "length").collect():
+        got.setdefault(he.Page(r.url, r.html).content, set()).update(range(r.start, r.start + r.length))
+    pages = [he.Page(url, html) for _, url, html in rows]
+    want = {c: covered for c, covered in brute_cover(pages).items() if covered}
+    assert {c: v for c, v in got.items()} == want != {}
+
+
+def test_template_text_inside_blocks_goes(spark):
+    draw = random.Random(13)
+    notice = words(draw, 12)
+    own = [(words(draw, 9), words(draw, 5)) for _ in range(10)]
+    rows = [(k, f"http://h/{k}", f"<div><p>{a} {notice} {b}</p></div>") for k, (a, b) in enumerate(own)]
+    got = {r.page_id: r.text for r in he.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"{a} {b}" for k, (a, b) in enumerate(own)}
