@@ -118,3 +118,11 @@ def test_scans_read_only_what_is_needed(small):
 def test_filters_reach_the_scan(small):
     text = plan(small.freq_exclusions)
     assert "EqualTo(o_orderstatus,P)" in text.split("PushedFilters:")[1]
+
+
+def test_rows_are_not_shuffled_for_the_deployments(spark, folder, no_automatic_broadcast):
+    # a field log too large to broadcast, as it is on large tables
+    text = plan(QUERIES["deploy_meta"](Tables(spark, folder, Measured(True, Fits(False, True, False)))))
+    assert "__piece" not in text
+    shuffled = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
+    assert shuffled and not any("row_key" in keys for keys in shuffled)

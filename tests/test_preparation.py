@@ -1,6 +1,7 @@
 import pytest
 
 from faunatally.operators import keyed_join
+from faunatally.operators.effort import deploy_meta
 from faunatally.operators.keyed_join import repeated_keys, unique_keys
 from faunatally.operators.preparation import (
     apply_exclusions,
@@ -13,7 +14,7 @@ from faunatally.operators.preparation import (
     merge_deployment_facts,
     merge_field_log,
 )
-from faunatally.plans.preparation import Fits, clean_table
+from faunatally.plans.preparation import Fits, clean_deployments, clean_table
 from faunatally.schema import ANNOTATIONS, FIELD_LOG, FREQ_EXCLUSIONS, MANUAL_EXCLUSIONS
 from tests.rows import as_set, table, tuples
 
@@ -185,3 +186,20 @@ def test_hot_deployments_are_counted_without_applying_the_exclusions(spark, monk
     assert as_set(made, "row_key", "depth_m", "valid_for_freq") == {(0, 5.0, False), (2, 7.0, True)}
     plans = [r._jdf.queryExecution().optimizedPlan().toString() for r, keys in counted if list(keys) == ["deployment"]]
     assert len(plans) == 1 and "LeftAnti" not in plans[0]
+
+
+def test_deployments_of_the_clean_table(spark):
+    seen = [("A", "x"), ("A", "y"), ("B", "x"), ("B", "x"), (None, "x"), (None, None), ("C", None), ("D", "z"), ("E", "z")]
+    annotations = spark.createDataFrame(
+        [(d, "p", "c", "o", "f", n, "Species", None, None, 1, k) for k, (d, n) in enumerate(seen)], ANNOTATIONS
+    )
+    log = spark.createDataFrame(
+        [("A", 1.0, "l", "s"), ("A", 2.0, "l", "s"), ("B", 3.0, "l", "s"), (None, 4.0, "l", "s"), ("D", None, "l", None)], FIELD_LOG
+    )
+    manual = spark.createDataFrame([("B", "x"), ("C", None), (None, "x"), ("A", "x")], "deployment string, scientificName string")
+    listed = spark.createDataFrame([("A",), (None,), ("Z",), ("A",)], "deployment string")
+    for freq in (listed, None):
+        for fits in (None, Fits(True, True, True), Fits(False, False, False)):
+            want = deploy_meta(clean_table(annotations, log, manual, freq, fits)).collect()
+            got = deploy_meta(clean_deployments(annotations, log, manual, freq, fits)).collect()
+            assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) == 5
