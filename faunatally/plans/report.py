@@ -86,15 +86,17 @@ def report(
     count_null: bool = True,
     share: Callable[[DataFrame], DataFrame] = lambda df: df,
     sets: bool = False,
+    sightings: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All report tables by name.
 
     ``share`` is applied to the tables that many results use; pass ``session.materialise`` to compute each once, so that
-    the clean table is read twice: for the sightings and for the tentative identifications. With ``sets`` frequencies come
+    the clean table is read twice: for the sightings and for the tentative identifications. ``sightings`` are those of the clean
+    table where they were made before it, by ``preparation.clean_sightings``. With ``sets`` frequencies come
     from presence sets, which pays where many deployments share their taxa, else from the sightings. The report counts an unknown value as one more distinct value;
     ``count_null=False`` leaves it out.
     """
-    sightings = share(occ.compact_sightings(clean))
+    sightings = share(occ.compact_sightings(clean) if sightings is None else sightings)
     meta = share(eff.deploy_meta(sightings))
     paths = share(paths_with_depths(sightings))
     refined = share(tax.refine_taxa(paths))

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faunatally.operators.effort import deploy_meta, valid_effort
+from faunatally.operators.keyed_join import hot_keys
 from faunatally.operators.occurrence import (
     attracted_metrics,
     compact_sightings,
@@ -157,3 +158,28 @@ def test_frequencies_are_percentages(spark, folder):
     freq = frequency_of_occurrence(rows, "scientificName", valid_effort(deploy_meta(rows)))
     low, high = freq.agg(F.min("freq_occ"), F.max("freq_occ")).first()
     assert 0 <= low <= high <= 100
+
+
+def test_sightings_folded_before_the_merge(spark):
+    """A third of the rows, and as many without a deployment, in pieces; a deployment logged twice, one not at all."""
+    deployments = ["hot", None, "a", "b", "hot", None]
+    rows = [(deployments[i % 6], f"N{i % 7}", ["Attracted", None][i % 2], i % 11) for i in range(240)]
+    annotations = spark.createDataFrame(
+        [(d, "P", None, "", "F", n, "species", a, c) for d, n, a, c in rows],
+        "deployment string, phylum string, class string, tax_order string, family string, scientificName string, "
+        "taxonRank string, attracted string, individualCount int",
+    )
+    facts = spark.createDataFrame(
+        [("hot", 1.0, "Hard", True, 4), ("a", 2.0, None, False, 5), ("a", 3.0, None, False, 5), ("a", 3.0, None, False, 5)],
+        "deployment string, depth_m double, substrate_type string, valid_for_freq boolean, unit_no long",
+    )
+    hot = hot_keys(annotations, ["deployment"], rows_per_piece=50, max_hot_keys=50)
+    assert hot.count() == 2
+    of = {"hot": [(1.0, "Hard", True, 4)], "a": [(2.0, None, False, 5), (3.0, None, False, 5)]}
+    counts = {}
+    for d, n, a, c in rows:
+        for fact in of.get(d, [(None, None, True, None)]):
+            key = (d, *fact[:3], "P", None, "", "F", n, "species", a)
+            counts[(*key, fact[3])] = max(c, counts.get((*key, fact[3]), 0))
+    found = compact_sightings(annotations, facts, hot=hot)
+    assert as_set(found) == {(*key[:-1], c, key[-1]) for key, c in counts.items()}

@@ -126,3 +126,10 @@ def test_rows_are_not_shuffled_for_the_deployments(spark, folder, no_automatic_b
     assert "__piece" not in text
     shuffled = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
     assert shuffled and not any("row_key" in keys for keys in shuffled)
+
+
+def test_sightings_beside_a_large_log_are_shuffled_once(spark, folder, no_automatic_broadcast):
+    """Only rows of hot deployments, which have pieces, are folded by a shuffle on the taxon."""
+    text = plan(QUERIES["compact_sightings"](Tables(spark, folder, Measured(True, Fits(False, True, True)))))
+    by_taxon = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "taxonRank" in line]
+    assert all("__pieces" in line for line in by_taxon)
