@@ -26,7 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from faunatally.llm.stored import small_portions
 from faunatally.llm.token_counts import byte_signs
+from faunatally.llm.workers import giving_back
 
 END_ID = 0
 BLOCK = 1 << 16
@@ -176,7 +178,7 @@ def _chunks(docs: DataFrame, vocabulary: str, end_id: int, bits: int) -> DataFra
         if ids:
             yield closed()
 
-    return docs.mapInPandas(chunked, SCHEMA)
+    return docs.mapInPandas(giving_back(chunked), SCHEMA)
 
 
 def write_tokens(
@@ -194,7 +196,8 @@ def write_tokens(
         shards = max(1, -(-size // SHARD_BYTES), docs.sparkSession.sparkContext.defaultParallelism)
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
     ranged = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
-    _chunks(ranged, vocabulary, end_id, plane_bits).write.parquet(folder)
+    with small_portions(docs.sparkSession):
+        _chunks(ranged, vocabulary, end_id, plane_bits).write.parquet(folder)
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:

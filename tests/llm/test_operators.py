@@ -1,6 +1,7 @@
 """The text operators against plain versions, with NULLs, empty and long texts, ties, repeats and clashing columns."""
 
 import random
+import tracemalloc
 import zlib
 from hashlib import sha256
 
@@ -348,3 +349,42 @@ def test_exceptions_of_many_hits_are_swept_once():
 def test_exception_phrases_cancel_hits():
     lexicon = toxicity.Lexicon({" trash ": 3.0}, (" trash can ",), (-1.0, 1.0, 1.0))
     assert lexicon.hits(toxicity.fold("the trash can")) == [] and len(lexicon.hits(toxicity.fold("you Tr4sh"))) == 1
+
+
+def test_a_slice_of_suffix_entries_takes_little_memory():
+    """What a worker sorts at once, measured on a text as long as a slice holds."""
+    size = suffix_dedup.SLICE_ENTRIES
+    keys = np.random.default_rng(5).integers(0, size, size, dtype=np.uint64)
+    half = [(keys[:: 2], 1, np.arange(0, size, 2)), (keys[1::2], 2, np.arange(1, size, 2))]
+    tracemalloc.start()
+    try:
+        keys, names, starts, first, tied = suffix_dedup._entries(half)
+        assert tied.any() and not tied.all()
+        suffix_dedup._packed(keys, names, starts, True, 256, tied & first)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 48 << 20
+
+
+def test_texts_reach_the_tokenizer_in_small_portions(spark, tmp_path, monkeypatch):
+    seen = []
+    kept = token_files._chunks
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+
+    class Noted:
+        def __init__(self, chunks):
+            self.chunks = chunks
+
+        @property
+        def write(self):
+            seen.append(int(spark.conf.get(key)))
+            return self.chunks.write
+
+    monkeypatch.setattr(token_files, "_chunks", lambda *a: Noted(kept(*a)))
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    token_files.write_tokens(docs, str(tmp_path / "tokens"), vocabulary(), shards=1)
+    assert seen and max(seen) <= 8 << 20
+    assert spark.conf.get(key, None) == before
+    assert sorted(r.doc_id for r in token_files.read_documents(spark, str(tmp_path / "tokens")).collect()) == [1, 2]
