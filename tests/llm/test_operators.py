@@ -120,6 +120,16 @@ def test_suffix_dedup_at_the_length_of_the_query(spark):
     assert sorted(got) == want
 
 
+def test_suffix_dedup_has_no_row_for_each_text_in_each_bucket(spark):
+    draw = random.Random(3)
+    rows = [(k, "".join(draw.choice("abcdefgh") for _ in range(200)), [0, 181]) for k in range(300)]
+    candidates = spark.createDataFrame(rows, "name long, text string, starts array<int>")
+    packed = suffix_dedup._unrepeated(candidates, 20, 1, 0, 8, 4).collect()
+    assert len(packed) <= 8 * 4
+    gathered = suffix_dedup._gathered(spark.createDataFrame(packed, "part long, names binary, starts binary")).collect()
+    assert {r.name: sorted(r.alone) for r in gathered} == {k: list(range(181)) for k in range(300)} and len(gathered) == 300
+
+
 def test_difference_covers():
     for r in range(6):
         v, cover = suffix_dedup.difference_cover(r)
