@@ -7,6 +7,7 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import brute
 
 from faunatally.llm import (
@@ -168,6 +169,15 @@ def test_line_dedup(spark, nothing):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def test_line_dedup_intersects_a_pair_once(spark):
+    rows = [([*range(n)], [*range(k, n + k)]) for n in range(1, 25) for k in range(n + 1)]
+    given = spark.createDataFrame([(a, b, len(a), len(b)) for a, b in rows], "a array<int>, b array<int>, m int, n int")
+    test = line_dedup.similar(F.col("a"), F.col("b"), "m", "n", 80)
+    assert str(test).count("array_intersect") == 1
+    got = given.select("a", "b", test.alias("alike")).collect()
+    assert len(got) == len(rows) and all(r.alike == (100 * len({*r.a} & {*r.b}) >= 80 * len({*r.a} | {*r.b})) for r in got)
+
+
 def test_line_dedup_of_lines_that_only_begin_alike(spark):
     texts = ["https://alpha.example/one", "https://other.org/zwei?x=9", "漢字漢字漢字漢字" + "一二三四五六", "漢字漢字漢字漢字" + "七八九十百千", "\t\n\t"]
     got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
