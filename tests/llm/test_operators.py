@@ -178,6 +178,30 @@ def test_line_dedup_intersects_a_pair_once(spark):
     assert len(got) == len(rows) and all(r.alike == (100 * len({*r.a} & {*r.b}) >= 80 * len({*r.a} | {*r.b})) for r in got)
 
 
+def test_line_dedup_keys_of_a_line(spark, capsys):
+    lines = spark.createDataFrame([(line,) for line in edited_lines(3)], "line string").distinct()
+    made = line_dedup.banded(lines)
+    made.explain()
+    # sorted and cut by compiled functions: no part is filtered out of the hashes one by one
+    assert "filter(" not in capsys.readouterr().out
+    hashes = {
+        bytes(r.node): sorted(set(r.hashes))
+        for r in lines.select(line_dedup._digest("line").alias("node"), line_dedup._hashes("line").alias("hashes")).collect()
+    }
+    bands = {bytes(r.node): r.bands for r in made.collect()}
+    assert bands.keys() == hashes.keys()
+    own, told = {}, {}
+    for node, given in hashes.items():
+        parts = [[h for h in given[: line_dedup.LOW] if h % line_dedup.BANDS == k][: line_dedup.ROWS] for k in range(line_dedup.BANDS)]
+        parts = [tuple(p) for p in parts if p]
+        assert len(bands[node]) == len(parts)
+        for p in parts:
+            own.setdefault(p, set()).add(node)
+        for b in bands[node]:
+            told.setdefault(b, set()).add(node)
+    assert sorted(map(sorted, own.values())) == sorted(map(sorted, told.values()))
+
+
 def test_line_dedup_of_lines_that_only_begin_alike(spark):
     texts = ["https://alpha.example/one", "https://other.org/zwei?x=9", "漢字漢字漢字漢字" + "一二三四五六", "漢字漢字漢字漢字" + "七八九十百千", "\t\n\t"]
     got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
